@@ -75,16 +75,17 @@ def temporal_trend(df: DataFrame, target: str, period: str = "periodo") -> DataF
 def category_vs_target(df: DataFrame, cat: str, target: str, order: list[str] | None = None,
                        max_label_len: int | None = None) -> DataFrame:
     """Q8: per category n, mean, std and exact quartiles; explicit order and label cut."""
-    stats = group_stats(df.where(F.col(target).isNotNull()), target, [cat])
+    df = df.where(F.col(cat).isNotNull() & F.col(target).isNotNull())
+    stats = group_stats(df, target, [cat])
     q = quantile_columns(df, target, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, [cat])
-    out = stats.join(q, stats[cat].eqNullSafe(q[cat])).drop(q[cat])
+    out = stats.join(q, cat)
     label = F.col(cat)
     if max_label_len:
         label = F.when(F.length(label) > max_label_len,
                        F.concat(F.substring(label, 1, max_label_len - 1), F.lit("…"))
                        ).otherwise(label)
     pos = (F.array_position(F.array(*[F.lit(x) for x in order]), F.col(cat)) if order
-           else F.lit(0))
+           else F.lit(0).cast("bigint"))
     return out.select(label.alias("label"), cat, "n", "mean_score", "std_score", "p25", "p50",
                       "p75", pos.alias("order_pos"))
 

@@ -26,18 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
-    """Long result: ``(*by, prob, quantile)``; null values are ignored."""
-    by = list(by or [])
-    spark = df.sparkSession
-    nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    srt = (base.repartitionByRange(nparts, *by, "__v")
-           .sortWithinPartitions(*by, "__v")
+def _sorted_blocks(df: DataFrame, by: list[str], order: list[str], nparts: int | None):
+    """Range-partition + sort; return (rows with __pid/__mid, per-block offsets)."""
+    nparts = nparts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    srt = (df.repartitionByRange(nparts, *by, *order)
+           .sortWithinPartitions(*by, *order)
            .withColumn("__pid", F.spark_partition_id())
            .withColumn("__mid", F.monotonically_increasing_id()))
-
     blocks = srt.groupBy("__pid", *by).agg(F.count(F.lit(1)).alias("__cnt"),
                                             F.min("__mid").alias("__first"))
     wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -45,6 +40,42 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
               .withColumn("__off", F.coalesce(F.sum("__cnt").over(
                   wg.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("__n", F.sum("__cnt").over(wg)))
+    return srt, blocks
+
+
+def row_number_in_groups(df: DataFrame, by: list[str], order: list[str], name: str = "rn",
+                         num_partitions: int | None = None) -> DataFrame:
+    """Skew-safe ``row_number() OVER (PARTITION BY by ORDER BY order)`` (1-based).
+
+    A hot group is spread over many range partitions instead of one window task;
+    each row's rank is its block offset plus its position inside the block. Ranks
+    are computed on the narrow (by, order) projection — both consumers of the
+    range exchange then read identical columns, so Spark reuses one exchange and
+    one set of range bounds — and joined back to the full rows on (by, order),
+    which must be a total order (unique per row).
+    """
+    by, order = list(by), list(order)
+    narrow = df.select(*by, *order)
+    srt, blocks = _sorted_blocks(narrow, by, order, num_partitions)
+    b = blocks.select(F.col("__pid").alias("__bpid"),
+                      *[F.col(k).alias(f"__bk{i}") for i, k in enumerate(by)],
+                      "__off", "__first")
+    cond = [F.col("__pid") == F.col("__bpid")] + \
+        [F.col(k).eqNullSafe(F.col(f"__bk{i}")) for i, k in enumerate(by)]
+    ranked = srt.join(b, cond).select(
+        *[F.col(c).alias(f"__r{i}") for i, c in enumerate(by + order)],
+        (F.col("__off") + F.col("__mid") - F.col("__first") + 1).alias(name))
+    keys = by + order
+    back = [F.col(c).eqNullSafe(F.col(f"__r{i}")) for i, c in enumerate(keys)]
+    return df.join(ranked, back).select(*[F.col(c) for c in df.columns], F.col(name))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
+                    num_partitions: int | None = None) -> DataFrame:
+    """Long result: ``(*by, prob, quantile)``; null values are ignored."""
+    by = list(by or [])
+    base = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    srt, blocks = _sorted_blocks(base, by, ["__v"], num_partitions)
 
     p_arr = F.array(*[F.lit(float(p)) for p in probs])
     need = (blocks

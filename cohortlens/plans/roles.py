@@ -65,3 +65,36 @@ MOTHER_EDU_DISPLAY_ORDER: list[str] = [
     "Técnica o tecnológica incompleta", "Técnica o tecnológica completa",
     "Educación profesional incompleta", "Educación profesional completa", "Postgrado",
 ]
+
+RAW_COLUMNS: list[str] = [
+    "estu_consecutivo", "periodo", *RAW_ORDER_COLS, "estu_estudiante", "cole_codigo_icfes",
+    "punt_global", *PARTIAL_SCORES,
+]
+RAW_STRING_COLS: list[str] = [
+    "periodo", "l_returnflag", "l_linestatus", "estu_estudiante", "cole_codigo_icfes",
+    "punt_global", *PARTIAL_SCORES,
+]
+COHORT_DTYPES: dict[str, str] = {
+    "estu_consecutivo": "bigint", "cole_codigo_icfes": "bigint", "punt_global": "double",
+}
+COHORT_COLUMNS: list[str] = [
+    "estu_consecutivo", "cole_codigo_icfes", "periodo", "estu_fechanacimiento", "estu_genero",
+    "estu_mcpio_reside", "estu_depto_reside", "estu_mcpio_presentacion",
+    "estu_depto_presentacion", "fami_estratovivienda", "fami_educacionmadre",
+    "fami_educacionpadre", "fami_personashogar", "fami_cuartoshogar", "fami_tieneinternet",
+    "fami_tienecomputador", "fami_tieneautomovil", "fami_tienelavadora", "cole_naturaleza",
+    "cole_calendario", "cole_area_ubicacion", "cole_bilingue", "punt_global",
+]
+# Categorical inputs of the association statistics (reference lists restricted to
+# the columns the role map provides).
+ASSOC_CATS: list[str] = [
+    "fami_estratovivienda", "fami_educacionmadre", "fami_educacionpadre", "fami_tieneinternet",
+    "fami_tienecomputador", "fami_tieneautomovil", "fami_tienelavadora", "fami_personashogar",
+    "fami_cuartoshogar", "cole_naturaleza", "cole_area_ubicacion", "cole_calendario",
+    "cole_bilingue", "estu_genero",
+]
+CRAMER_CATS: list[str] = [
+    "fami_estratovivienda", "fami_educacionmadre", "fami_educacionpadre", "fami_tieneinternet",
+    "fami_tienecomputador", "fami_tieneautomovil", "cole_naturaleza", "cole_area_ubicacion",
+    "cole_calendario", "cole_bilingue", "estu_genero",
+]
