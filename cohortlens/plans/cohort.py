@@ -129,3 +129,20 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         social.alias("punt_sociales_ciudadanas"),
         english.alias("punt_ingles"),
     )
+
+
+PRED_CELL = ["fami_estratovivienda", "fami_tieneinternet", "estu_mcpio_reside"]
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(y_true, y_pred) table for metric queries: y_pred = mean of y in the
+    (stratum, internet, municipality) cell — an aggregate joined back (null-safe),
+    so a hot cell is summed map-side instead of buffered by a window."""
+    c = cohort(spark, sf_dir)
+    cell = c.groupBy(*PRED_CELL).agg(F.avg("punt_global").alias("y_pred"))
+    cell = cell.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(PRED_CELL)], "y_pred")
+    cond = [F.col(k).eqNullSafe(F.col(f"__c{i}")) for i, k in enumerate(PRED_CELL)]
+    return c.join(cell, cond).select(
+        "estu_consecutivo", "periodo", "fami_estratovivienda", "estu_genero",
+        "cole_area_ubicacion", "cole_naturaleza", "estu_depto_reside", "fami_tieneinternet",
+        "estu_mcpio_reside", F.col("punt_global").alias("y_true"), "y_pred")
