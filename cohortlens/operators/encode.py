@@ -37,10 +37,19 @@ def impute_modes(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None
                         else F.col(c)) for c in df.columns])
 
 
-def fit_medians(df: DataFrame, cols: list[str]) -> Column:
-    """M2: exact median per numeric column (linear interpolation), as one scalar struct."""
+def fit_medians(df: DataFrame, cols: list[str], discrete: bool = False) -> Column:
+    """M2: exact median per numeric column (linear interpolation), as one scalar struct.
+
+    ``discrete=True`` is for columns whose number of distinct values is bounded by
+    their domain (ages, counts, levels, per-group shares): Spark's exact
+    ``percentile`` then keeps a small value->count map per column (partial
+    aggregation, one job). Otherwise the range-partitioned exact quantiles are
+    used, which stay bounded for continuous columns of any size."""
     long = _long(df, cols, "double").where(F.col("value").isNotNull())
-    med = quantile_columns(long, "value", {"median": 0.5}, ["column"])
+    if discrete:
+        med = long.groupBy("column").agg(F.percentile("value", 0.5).alias("median"))
+    else:
+        med = quantile_columns(long, "value", {"median": 0.5}, ["column"])
     wide = med.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in cols])
     return wide.select(F.struct(*cols).alias("m")).scalar()
 

@@ -10,17 +10,13 @@ shuffled join whose hot key is split by AQE's skew handling) and derives
 * leave-one-out: ``(sum - own) / (n - 1)``; ``n < 2`` or unseen -> global.
 
 Fallbacks are the unweighted mean over groups (null key excluded), delivered
-as scalar subqueries.
+as scalar subqueries. The pipeline stage wrapping this is
+``cohortlens.operators.ml.GroupAggregatesStage``.
 """
 
 from __future__ import annotations
 
-import json
-import os
-
-from pyspark.ml import Estimator, Model
-from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
@@ -51,10 +47,11 @@ def fit_lookups(df: DataFrame, mcpio: str = MCPIO, depto: str = DEPTO
 
 def global_fallbacks(mcpio_lookup: DataFrame, depto_lookup: DataFrame) -> dict[str, object]:
     """Unweighted mean over groups, as scalar-subquery columns."""
-    g = {"n_estudiantes_mcpio": mcpio_lookup.agg(F.avg("n")).scalar()}
-    for out in PCT:
-        g[out] = mcpio_lookup.agg(F.avg(out)).scalar()
-    g["pct_calendario_b_depto"] = depto_lookup.agg(F.avg("pct_calendario_b_depto")).scalar()
+    m = mcpio_lookup.agg(F.struct(F.avg("n").alias("n_estudiantes_mcpio"),
+                                  *[F.avg(o).alias(o) for o in PCT]).alias("s")).scalar()
+    d = depto_lookup.agg(F.avg("pct_calendario_b_depto")).scalar()
+    g = {k: m.getField(k) for k in ["n_estudiantes_mcpio", *PCT]}
+    g["pct_calendario_b_depto"] = d
     return g
 
 
@@ -87,79 +84,3 @@ def apply_lookups(df: DataFrame, mcpio_lookup: DataFrame, depto_lookup: DataFram
                                                g["pct_calendario_b_depto"]).cast("float")
     keep = [c for c in df.columns if c not in out]
     return j.select(*keep, *[out[k].alias(k) for k in K.GROUP_NUMERIC_COLS])
-
-
-class GroupAggregates(Estimator, MLReadable, MLWritable):
-    """Estimator learning the lookups; its model applies LOO to rows flagged
-    ``__train_row`` (added by our fold driver to training frames only) and plain
-    lookups everywhere else (validation, test, scoring, explanation)."""
-
-    def _fit(self, df: DataFrame) -> "GroupAggregatesModel":
-        m, d = fit_lookups(df)
-        return GroupAggregatesModel(m.cache(), d.cache())
-
-    def write(self) -> MLWriter:
-        return _EmptyWriter(self)
-
-    @classmethod
-    def read(cls) -> MLReader:
-        return _EmptyReader(cls)
-
-
-class GroupAggregatesModel(Model, MLReadable, MLWritable):
-    def __init__(self, mcpio_lookup: DataFrame | None = None,
-                 depto_lookup: DataFrame | None = None):
-        super().__init__()
-        self.mcpio_lookup = mcpio_lookup
-        self.depto_lookup = depto_lookup
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        flag = TRAIN_FLAG if TRAIN_FLAG in df.columns else False
-        return apply_lookups(df, self.mcpio_lookup, self.depto_lookup, leave_one_out=flag)
-
-    def write(self) -> MLWriter:
-        return _LookupWriter(self)
-
-    @classmethod
-    def read(cls) -> MLReader:
-        return _LookupReader(cls)
-
-
-class _EmptyWriter(MLWriter):
-    def __init__(self, inst):
-        super().__init__()
-        self.inst = inst
-
-    def saveImpl(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
-        spark.createDataFrame([(self.inst.uid, type(self.inst).__name__)], "uid string, cls string") \
-            .write.mode("overwrite").json(os.path.join(path, "metadata"))
-
-
-class _EmptyReader(MLReader):
-    def __init__(self, cls):
-        super().__init__()
-        self.cls = cls
-
-    def load(self, path: str):
-        return self.cls()
-
-
-class _LookupWriter(_EmptyWriter):
-    def saveImpl(self, path: str) -> None:
-        super().saveImpl(path)
-        self.inst.mcpio_lookup.write.mode("overwrite").parquet(os.path.join(path, "mcpio"))
-        self.inst.depto_lookup.write.mode("overwrite").parquet(os.path.join(path, "depto"))
-
-
-class _LookupReader(_EmptyReader):
-    def load(self, path: str):
-        spark = SparkSession.getActiveSession()
-        return self.cls(spark.read.parquet(os.path.join(path, "mcpio")),
-                        spark.read.parquet(os.path.join(path, "depto")))
-
-
-def describe_state(model: GroupAggregatesModel) -> str:
-    """Small JSON description of a fitted model (group counts only)."""
-    return json.dumps({"n_mcpio": model.mcpio_lookup.count(),
-                       "n_depto": model.depto_lookup.count()})
