@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming workload (no watermarks, windows, state or late
+data; every source is a bounded batch), so nothing is built here.
+"""
