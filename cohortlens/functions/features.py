@@ -59,7 +59,7 @@ def approx_age(period: str = "periodo", birth: str = "estu_fechanacimiento",
 
 def eda_age(period: str = "periodo", birth: str = "estu_fechanacimiento") -> Column:
     """full-date parse (invalid -> null), year difference, no clip."""
-    return period_year(period) - F.year(F.try_to_date(F.col(birth), F.lit("dd/MM/yyyy")))
+    return period_year(period) - F.year(F.try_to_date(F.col(birth), "dd/MM/yyyy"))
 
 
 def crowding(persons: Column, rooms: Column) -> Column:

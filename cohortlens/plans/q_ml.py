@@ -229,3 +229,36 @@ def _violations_sql() -> str:
 def domain_violations(spark, sf_dir):
     tr, te = _parts(spark, sf_dir)
     return B.domain_violations(te, B.feature_schema(tr), ID)
+
+
+@register("robustness_summary")
+def robustness_summary(spark, sf_dir):
+    """Holdout, group K-fold and temporal schemes, one row each (union)."""
+    c = cohort(spark, sf_dir)
+    build = lambda: ml.build_pipeline("tree", {"maxDepth": 6}, c.columns)
+    tr, te = _parts(spark, sf_dir)
+    holdout = D.regression_report(ml.predict(ml.fit_train(build(), tr), te))
+    folds = T.group_kfold_cv(build, c, "estu_mcpio_reside", 5)
+    temporal = T.temporal_holdout_cv(build, c, "periodo", CUT)
+    return T.robustness_summary(holdout, folds, temporal)
+
+
+@register("path_contributions_long")
+def path_contributions_long(spark, sf_dir):
+    """Beeswarm data (row, feature, value, contribution) for the whole test part."""
+    model, _, te = _tree_model(spark, sf_dir)
+    return X.path_contributions(model, te)
+
+
+@register("dependence_one_feature")
+def dependence_one_feature(spark, sf_dir):
+    """I4: contributions of one feature (error if the feature is unknown)."""
+    model, _, te = _tree_model(spark, sf_dir)
+    names = X.feature_names(model, te)
+    return X.dependence(X.path_contributions(model, te), "indice_socioeconomico", names)
+
+
+@register("peek_rows")
+def peek_rows(spark, sf_dir):
+    """L3: a peek at the first rows (limit is the feature)."""
+    return cohort(spark, sf_dir).limit(1000)

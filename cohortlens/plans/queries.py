@@ -13,7 +13,7 @@ from cohortlens.operators import assoc
 from cohortlens.plans.cohort import cohort, raw_records
 from cohortlens.plans.oracle import q, with_views
 from cohortlens.plans.registry import register
-from cohortlens.plans import q_encode, q_ml, q_model, q_quality, q_stats  # noqa: F401
+from cohortlens.plans import q_encode, q_ml, q_model, q_more, q_quality, q_stats  # noqa: F401
 
 Y = K.TARGET
 GAP_COLS = ["n_a", "mean_a", "sd_a", "n_b", "mean_b", "sd_b", "gap", "cohens_d", "magnitude"]
