@@ -50,8 +50,19 @@ def fit_medians(df: DataFrame, cols: list[str], discrete: bool = False) -> Colum
         med = long.groupBy("column").agg(F.percentile("value", 0.5).alias("median"))
     else:
         med = quantile_columns(long, "value", {"median": 0.5}, ["column"])
-    wide = med.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in cols])
-    return wide.select(F.struct(*cols).alias("m")).scalar()
+    return _medians_wide(med, cols).select(F.struct(*cols).alias("m")).scalar()
+
+
+def _medians_wide(med: DataFrame, cols: list[str]) -> DataFrame:
+    return med.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in cols])
+
+
+def collect_medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
+    """Exact medians of discrete-valued columns as Python floats (one aggregate job)."""
+    long = _long(df, cols, "double").where(F.col("value").isNotNull())
+    row = long.groupBy("column").agg(F.percentile("value", 0.5).alias("median")).collect()
+    got = {r["column"]: r["median"] for r in row}
+    return {c: got.get(c) for c in cols}
 
 
 def impute_medians(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:

@@ -55,12 +55,24 @@ def global_fallbacks(mcpio_lookup: DataFrame, depto_lookup: DataFrame) -> dict[s
     return g
 
 
+def collect_fallbacks(mcpio_lookup: DataFrame, depto_lookup: DataFrame) -> dict[str, float]:
+    """The five fallbacks as Python floats, read from the (small) lookup tables."""
+    m = mcpio_lookup.agg(F.avg("n").alias("n_estudiantes_mcpio"),
+                         *[F.avg(o).alias(o) for o in PCT]).first().asDict()
+    m["pct_calendario_b_depto"] = depto_lookup.agg(F.avg("pct_calendario_b_depto")).first()[0]
+    return m
+
+
 def apply_lookups(df: DataFrame, mcpio_lookup: DataFrame, depto_lookup: DataFrame,
                   leave_one_out: bool | str = False, mcpio: str = MCPIO,
-                  depto: str = DEPTO) -> DataFrame:
+                  depto: str = DEPTO, fallbacks: dict[str, float] | None = None) -> DataFrame:
     """Add the five group columns (float). ``leave_one_out`` may be a bool or the
-    name of a boolean column selecting LOO per row (train rows only)."""
-    g = global_fallbacks(mcpio_lookup, depto_lookup)
+    name of a boolean column selecting LOO per row (train rows only). ``fallbacks``
+    (literals from ``collect_fallbacks``) replaces the scalar subqueries."""
+    if fallbacks is not None:
+        g = {k: F.lit(v).cast("double") for k, v in fallbacks.items()}
+    else:
+        g = global_fallbacks(mcpio_lookup, depto_lookup)
     ind = indicator_cols()
     ml = mcpio_lookup.select(F.col("key").alias("__mk"), F.col("n").alias("__n"),
                              *[F.col(f"sum_{s}").alias(f"__s_{s}") for s in PCT.values()],

@@ -10,20 +10,22 @@ MLlib's ``GBTRegressor``, not the original libraries.
 
 from __future__ import annotations
 
+import json
 import os
 
-from pyspark.ml import Estimator, Model, Pipeline, Transformer
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable,
                              DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter)
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
-from cohortlens.functions.features import DeterministicFeatures
+from cohortlens.functions.features import DeterministicFeatures, map_label
 from cohortlens.operators import encode as E
 from cohortlens.operators import groupagg as G
 from cohortlens.session import cut_lineage
@@ -76,8 +78,7 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
 
     def _fit(self, df: DataFrame) -> "MedianImputerModel":
         cols = self.getInputCols()
-        m = df.sparkSession.range(1).select(E.fit_medians(df, cols, discrete=True).alias("m")) \
-            .first()["m"]
+        m = E.collect_medians(df, cols)
         model = MedianImputerModel()
         model._set(inputCols=cols, fittedValues=[repr(float(m[c] or 0.0)) for c in cols])
         return model
@@ -91,6 +92,80 @@ class MedianImputerModel(Model, HasInputCols, _Fitted, DefaultParamsReadable, De
                             if c in fill else F.col(c)) for c in df.columns])
 
 
+class CategoricalPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """M1 + M4/M5 input in ONE data pass: (column, value) counts give each string
+    column's mode (ties -> smallest) and its sorted vocabulary.
+
+    ``transform`` imputes nulls with the mode (or keeps them as a category,
+    ``nullPolicy='category'``, T9) and writes ``<col>__idx`` for the indexed
+    columns: position in the learned vocabulary, unseen -> len(vocab), with
+    nominal ML metadata so ``OneHotEncoder`` needs no extra scan. Vocabularies of
+    these low-cardinality roles are small (the same data ``StringIndexer`` keeps)."""
+
+    imputeCols = Param(Params._dummy(), "imputeCols", "columns to impute", TypeConverters.toListString)
+    indexCols = Param(Params._dummy(), "indexCols", "columns to index", TypeConverters.toListString)
+    nullPolicy = Param(Params._dummy(), "nullPolicy", "mode | category", TypeConverters.toString)
+    fitted = Param(Params._dummy(), "fitted", "json: modes and vocabularies", TypeConverters.toString)
+
+    def __init__(self, imputeCols: list[str] | None = None, indexCols: list[str] | None = None,
+                 nullPolicy: str = "mode"):
+        super().__init__()
+        self._setDefault(nullPolicy="mode", fitted="{}", imputeCols=[], indexCols=[])
+        self._set(imputeCols=imputeCols or [], indexCols=indexCols or [], nullPolicy=nullPolicy)
+
+    def _fit(self, df: DataFrame) -> "CategoricalPrepModel":
+        imp, idx = self.getOrDefault(self.imputeCols), self.getOrDefault(self.indexCols)
+        cols = list(dict.fromkeys(imp + idx))
+        sub = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+        counts = sub.unpivot([], cols, "column", "value").where(F.col("value").isNotNull()) \
+            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect()
+        by_col: dict[str, list] = {c: [] for c in cols}
+        for r in counts:
+            by_col[r["column"]].append((r["value"], r["n"]))
+        category = self.getOrDefault(self.nullPolicy) == "category"
+        modes = {}
+        for c in imp:
+            if category or not by_col[c]:
+                modes[c] = K.MISSING_GROUP
+            else:
+                modes[c] = min(by_col[c], key=lambda vn: (-vn[1], vn[0]))[0]
+        vocab = {}
+        for c in idx:
+            vals = {v for v, _ in by_col[c]}
+            if c in modes and modes[c] == K.MISSING_GROUP and (category or not vals):
+                vals.add(K.MISSING_GROUP)
+            vocab[c] = sorted(vals)
+        m = CategoricalPrepModel()
+        m._set(imputeCols=imp, indexCols=idx,
+               fitted=json.dumps({"modes": modes, "vocab": vocab}, sort_keys=True))
+        return m
+
+
+class CategoricalPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    imputeCols = CategoricalPrep.imputeCols
+    indexCols = CategoricalPrep.indexCols
+    fitted = CategoricalPrep.fitted
+
+    def __init__(self):
+        super().__init__()
+        self._setDefault(fitted="{}", imputeCols=[], indexCols=[])
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        st = json.loads(self.getOrDefault(self.fitted))
+        modes, vocab = st["modes"], st["vocab"]
+        out = [(F.coalesce(F.col(c).cast("string"), F.lit(modes[c])).alias(c) if c in modes
+                else F.col(c)) for c in df.columns]
+        for c, vals in vocab.items():
+            src = F.coalesce(F.col(c).cast("string"), F.lit(modes[c])) if c in modes \
+                else F.col(c).cast("string")
+            code = F.coalesce(map_label({v: i for i, v in enumerate(vals)}, src),
+                              F.lit(len(vals))).cast("double")
+            meta = {"ml_attr": {"type": "nominal", "name": f"{c}__idx",
+                                "vals": list(vals) + ["__unknown"]}}
+            out.append(code.alias(f"{c}__idx", metadata=meta))
+        return df.select(*out)
+
+
 class OrdinalEncoderExplicit(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """M3: explicit-order ordinal codes (unknown -> -1) into ``<col>_ord``."""
 
@@ -107,8 +182,10 @@ class GroupAggregatesStage(Estimator, MLReadable, MLWritable):
 
     def _fit(self, df: DataFrame) -> "GroupAggregatesStageModel":
         m, d = G.fit_lookups(df)
-        # one row per municipality / department: small, reused by every later stage
-        return GroupAggregatesStageModel(m.cache(), d.cache())
+        # one row per municipality / department: small, reused by every later stage;
+        # the five fallbacks become literals, so later plans carry no subqueries
+        m, d = m.cache(), d.cache()
+        return GroupAggregatesStageModel(m, d, G.collect_fallbacks(m, d))
 
     def write(self) -> MLWriter:
         return _ParamsOnlyWriter(self)
@@ -120,14 +197,16 @@ class GroupAggregatesStage(Estimator, MLReadable, MLWritable):
 
 class GroupAggregatesStageModel(Model, MLReadable, MLWritable):
     def __init__(self, mcpio_lookup: DataFrame | None = None,
-                 depto_lookup: DataFrame | None = None):
+                 depto_lookup: DataFrame | None = None, fallbacks: dict | None = None):
         super().__init__()
         self.mcpio_lookup = mcpio_lookup
         self.depto_lookup = depto_lookup
+        self.fallbacks = fallbacks
 
     def _transform(self, df: DataFrame) -> DataFrame:
         flag = G.TRAIN_FLAG if G.TRAIN_FLAG in df.columns else False
-        return G.apply_lookups(df, self.mcpio_lookup, self.depto_lookup, leave_one_out=flag)
+        return G.apply_lookups(df, self.mcpio_lookup, self.depto_lookup, leave_one_out=flag,
+                               fallbacks=self.fallbacks)
 
     def write(self) -> MLWriter:
         return _LookupWriter(self)
@@ -157,7 +236,8 @@ class _ParamsOnlyReader(MLReader):
 
 class _LookupWriter(_ParamsOnlyWriter):
     def saveImpl(self, path: str) -> None:
-        super().saveImpl(path)
+        DefaultParamsWriter.saveMetadata(self.inst, path, self.sparkSession,
+                                         extraMetadata={"fallbacks": self.inst.fallbacks})
         self.inst.mcpio_lookup.write.mode("overwrite").parquet(os.path.join(path, "mcpio"))
         self.inst.depto_lookup.write.mode("overwrite").parquet(os.path.join(path, "depto"))
 
@@ -165,9 +245,9 @@ class _LookupWriter(_ParamsOnlyWriter):
 class _LookupReader(_ParamsOnlyReader):
     def load(self, path: str):
         spark = SparkSession.getActiveSession()
-        DefaultParamsReader.loadMetadata(path, spark)
+        meta = DefaultParamsReader.loadMetadata(path, spark)
         return self.cls(spark.read.parquet(os.path.join(path, "mcpio")),
-                        spark.read.parquet(os.path.join(path, "depto")))
+                        spark.read.parquet(os.path.join(path, "depto")), meta.get("fallbacks"))
 
 
 # ---------------------------------------------------------------- models
@@ -229,16 +309,13 @@ def build_pipeline(model_name: str, params: dict | None = None, columns: list[st
     nominal = present(fc["nominal"])
     numeric = [c for c in fc["numeric"] if c in det_out or c in K.GROUP_NUMERIC_COLS]
     stages = [DeterministicFeatures(), GroupAggregatesStage(),
-              ModeImputer(inputCols=ordinal_src + binary + nominal, nullPolicy=null_policy),
+              CategoricalPrep(imputeCols=ordinal_src + binary + nominal,
+                              indexCols=binary + nominal, nullPolicy=null_policy),
               OrdinalEncoderExplicit(),
               MedianImputer(inputCols=numeric)]
-    idx_in = binary + nominal
-    idx_out = [f"{c}__idx" for c in idx_in]
-    stages.append(StringIndexer(inputCols=idx_in, outputCols=idx_out, handleInvalid="keep",
-                                stringOrderType="alphabetAsc"))
     oh_out = [f"{c}__oh" for c in nominal]
     stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in nominal], outputCols=oh_out,
-                                dropLast=True, handleInvalid="keep"))
+                                dropLast=True))
     assembled = [f"{c}_ord" for c in ordinal_src] + [f"{c}__idx" for c in binary] + oh_out + numeric
     stages.append(VectorAssembler(inputCols=assembled, outputCol="raw_features",
                                   handleInvalid="keep"))
@@ -252,13 +329,25 @@ def build_pipeline(model_name: str, params: dict | None = None, columns: list[st
     return Pipeline(stages=stages)
 
 
-def fit_train(pipeline: Pipeline, train: DataFrame):
+def fit_train(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit with leave-one-out group features on the training rows only (Hard 1).
 
-    The training frame is checkpointed once into the shared checkpoint folder, so
-    the several stage fits read materialised rows instead of recomputing the
-    source joins each time (and survive executor loss)."""
-    return pipeline.fit(cut_lineage(train.withColumn(G.TRAIN_FLAG, F.lit(True))))
+    The training frame is checkpointed once into the shared checkpoint folder; the
+    preprocessing prefix is fitted on it, and the learner — which may make many
+    passes — reads a persisted (features, label) frame, so its iterations never
+    re-run the lookup joins and imputers; a lost cached block is recomputed from
+    the reliable checkpoint, not from the source joins."""
+    stages = pipeline.getStages()
+    learner = stages[-1]
+    data = cut_lineage(train.withColumn(G.TRAIN_FLAG, F.lit(True)))
+    prefix = Pipeline(stages=stages[:-1]).fit(data)
+    fc, lc = learner.getFeaturesCol(), learner.getLabelCol()
+    feats = prefix.transform(data).select(fc, F.col(lc).cast("double").alias(lc)) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(prefix.stages + [learner.fit(feats)])
+    finally:
+        feats.unpersist()
 
 
 def predict(model, df: DataFrame, label: str = K.TARGET, id_col: str = "estu_consecutivo",

@@ -80,6 +80,21 @@ def temporal_split(df: DataFrame, period_col: str = "periodo", train_until: str
 
 
 def seeded_sample(df: DataFrame, id_col: str, n: int, seed: int = K.SEED) -> DataFrame:
-    """Exact, reproducible simple random sample of n rows (distributed top-n by hash)."""
-    return df.withColumn("__h", split_hash(id_col, seed)) \
-        .orderBy("__h", id_col).limit(n).drop("__h")
+    """Exact, reproducible simple random sample of n rows: the n smallest
+    (md5 hash, id) pairs.
+
+    A plain ``orderBy().limit(n)`` ships n rows from EVERY partition to one task.
+    Instead, rows are first kept only when the 32-bit md5 prefix (uniform) lies
+    below a threshold sized for about 3n expected survivors; the exact top-n is
+    then taken among those few rows. If fewer than n survive, the threshold
+    widens (x4) until it covers everything — always the exact answer."""
+    h = df.withColumn("__h", split_hash(id_col, seed)) \
+        .withColumn("__p", F.conv(F.substring("__h", 1, 8), 16, 10).cast("bigint"))
+    total = df.count()
+    frac = min(1.0, 3.0 * n / max(total, 1) + 1e-6)
+    while True:
+        cut = int(frac * (1 << 32))
+        cand = h.where(F.col("__p") < F.lit(cut)) if frac < 1.0 else h
+        if frac >= 1.0 or cand.count() >= n:
+            return cand.orderBy("__h", id_col).limit(n).drop("__h", "__p")
+        frac = min(1.0, frac * 4)

@@ -14,11 +14,13 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
 from cohortlens.operators import diagnostics as D
+from cohortlens.operators import groupagg as G
 from cohortlens.operators import ml
 from cohortlens.operators import split as S
 from cohortlens.session import cut_lineage
@@ -101,9 +103,25 @@ def to_mllib(space: str, p: dict[str, float], n_train: int) -> dict:
     return out
 
 
-def rmse_of(model, df: DataFrame) -> float:
-    pred = ml.predict(model, df)
-    return pred.agg(F.sqrt(F.avg((F.col("y_true") - F.col("y_pred")) ** 2))).first()[0]
+def _fold_features(data: DataFrame, k: int, linear: bool, id_col: str):
+    """Per fold: fit the preprocessing prefix once on the training folds (LOO flag
+    set) and materialise (features, label) of train and validation rows. The prefix
+    is independent of model hyperparameters, so every trial reuses it."""
+    out = []
+    for f in range(k):
+        tr = data.where(F.col("fold") != f).drop("fold")
+        va = data.where(F.col("fold") == f).drop("fold")
+        full = ml.build_pipeline("ridge" if linear else "tree", None, tr.columns)
+        prefix = Pipeline(stages=full.getStages()[:-1])
+        fitted = prefix.fit(cut_lineage(tr.withColumn(G.TRAIN_FLAG, F.lit(True))))
+        feats = "features" if linear else "raw_features"
+        trx = cut_lineage(fitted.transform(tr.withColumn(G.TRAIN_FLAG, F.lit(True)))
+                          .select(F.col(feats).alias("features"),
+                                  F.col(K.TARGET).cast("double").alias(K.TARGET)))
+        vax = cut_lineage(fitted.transform(va).select(
+            id_col, F.col(feats).alias("features"), F.col(K.TARGET).cast("double").alias(K.TARGET)))
+        out.append((trx, vax))
+    return out
 
 
 def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3,
@@ -111,25 +129,34 @@ def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3
                      max_iter_cap: int | None = None, seed: int = K.SEED) -> DataFrame:
     """Seeded random search, k-fold CV RMSE per trial, median pruning after
     ``N_STARTUP_TRIALS`` trials. Returns the trials table (model, trial, rmse,
-    state, params). ``max_iter_cap`` bounds boosting rounds for quick runs."""
+    state, params). ``max_iter_cap`` bounds boosting rounds for quick runs.
+
+    Fold preprocessing is fitted once per fold (see ``_fold_features``); each
+    trial x fold then fits only the learner on the materialised feature vectors."""
     spark = df.sparkSession
     data = cut_lineage(S.kfold_assign(df, id_col, k, seed))
     n_train = data.count()
+    cache: dict[bool, list] = {}
     rows = []
     for space in spaces:
+        profile = PROFILE_OF[space]
+        linear = profile in ml.LINEAR
+        if linear not in cache:
+            cache[linear] = _fold_features(data, k, linear, id_col)
+        folds = cache[linear]
         running: dict[int, list[float]] = {}
 
-        def one_trial(t: int):
+        def one_trial(t: int, space=space, profile=profile, folds=folds, running=running):
             p = draw(space, t, seed)
             mp = to_mllib(space, p, n_train)
             if max_iter_cap and "maxIter" in mp:
                 mp["maxIter"] = min(mp["maxIter"], max_iter_cap)
             scores = []
-            for f in range(k):
-                tr = data.where(F.col("fold") != f).drop("fold")
-                va = data.where(F.col("fold") == f).drop("fold")
-                model = ml.fit_train(ml.build_pipeline(PROFILE_OF[space], mp, tr.columns), tr)
-                scores.append(rmse_of(model, va))
+            for f, (trx, vax) in enumerate(folds):
+                model = ml.make_model(profile, mp).fit(trx)
+                pred = model.transform(vax)
+                scores.append(pred.agg(F.sqrt(F.avg((F.col(K.TARGET) - F.col("prediction")) ** 2)))
+                              .first()[0])
                 running.setdefault(f, []).append(float(np.mean(scores)))
                 done = running[f][:-1]
                 if t >= N_STARTUP_TRIALS and len(done) >= N_STARTUP_TRIALS and \
