@@ -329,6 +329,33 @@ def build_pipeline(model_name: str, params: dict | None = None, columns: list[st
     return Pipeline(stages=stages)
 
 
+def build_baseline_pipeline(model_name: str, params: dict | None = None,
+                            columns: list[str] | None = None) -> Pipeline:
+    """The EDA baseline encoder — one-hot of the categorical columns (unknown and
+    null -> zero vector) plus the numeric deterministic features passed through, no
+    group aggregates and no imputation: like the reference's row-complete filter,
+    rows with a null numeric feature are dropped (``handleInvalid='skip'``), in
+    training and in scoring alike."""
+    cols = set(columns or [])
+    present = (lambda xs: [c for c in xs if c in cols]) if columns else (lambda xs: list(xs))
+    cats = present(list(K.ORDINAL_COLS) + list(K.BINARY_COLS) + list(K.NOMINAL_LOW_COLS)
+                   + ["estu_mcpio_reside"])
+    numeric = list(K.DETERMINISTIC_NUMERIC_COLS)
+    prep = CategoricalPrep(imputeCols=[], indexCols=cats, nullPolicy="category")
+    oh = OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__oh" for c in cats],
+                       dropLast=True)
+    asm = VectorAssembler(inputCols=[f"{c}__oh" for c in cats] + numeric,
+                          outputCol="raw_features", handleInvalid="skip")
+    model = make_model(model_name, params)
+    stages = [DeterministicFeatures(), prep, oh, asm]
+    if model_name in LINEAR:
+        stages.append(StandardScaler(inputCol="raw_features", outputCol="features",
+                                     withMean=True, withStd=True))
+    else:
+        model.setFeaturesCol("raw_features")
+    return Pipeline(stages=stages + [model])
+
+
 def fit_train(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit with leave-one-out group features on the training rows only (Hard 1).
 
