@@ -37,19 +37,14 @@ def impute_modes(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None
                         else F.col(c)) for c in df.columns])
 
 
-def fit_medians(df: DataFrame, cols: list[str], discrete: bool = False) -> Column:
+def fit_medians(df: DataFrame, cols: list[str]) -> Column:
     """M2: exact median per numeric column (linear interpolation), as one scalar struct.
 
-    ``discrete=True`` is for columns whose number of distinct values is bounded by
-    their domain (ages, counts, levels, per-group shares): Spark's exact
-    ``percentile`` then keeps a small value->count map per column (partial
-    aggregation, one job). Otherwise the range-partitioned exact quantiles are
-    used, which stay bounded for continuous columns of any size."""
+    Uses the adaptive exact quantiles: columns with a bounded set of values
+    (ages, counts, levels, per-group shares) are ranked from map-side value
+    counts; continuous columns fall back to the range-block path."""
     long = _long(df, cols, "double").where(F.col("value").isNotNull())
-    if discrete:
-        med = long.groupBy("column").agg(F.percentile("value", 0.5).alias("median"))
-    else:
-        med = quantile_columns(long, "value", {"median": 0.5}, ["column"])
+    med = quantile_columns(long, "value", {"median": 0.5}, ["column"])
     return _medians_wide(med, cols).select(F.struct(*cols).alias("m")).scalar()
 
 
@@ -58,10 +53,10 @@ def _medians_wide(med: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def collect_medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
-    """Exact medians of discrete-valued columns as Python floats (one aggregate job)."""
+    """Exact medians as Python floats (one value per column) for fitted models."""
     long = _long(df, cols, "double").where(F.col("value").isNotNull())
-    row = long.groupBy("column").agg(F.percentile("value", 0.5).alias("median")).collect()
-    got = {r["column"]: r["median"] for r in row}
+    rows = quantile_columns(long, "value", {"median": 0.5}, ["column"]).collect()
+    got = {r["column"]: r["median"] for r in rows}
     return {c: got.get(c) for c in cols}
 
 

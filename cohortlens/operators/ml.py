@@ -69,8 +69,8 @@ class ModeImputerModel(Model, HasInputCols, _Fitted, DefaultParamsReadable, Defa
 
 
 class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """M2: exact median imputation (not approxQuantile). Pipeline inputs are
-    discrete-valued by construction, so the value->count ``percentile`` path is used."""
+    """M2: exact median imputation (not approxQuantile), via the adaptive exact
+    quantiles (value counts for bounded domains, range blocks otherwise)."""
 
     def __init__(self, inputCols: list[str] | None = None):
         super().__init__()

@@ -1,8 +1,12 @@
 """Exact, distributed quantiles with linear interpolation (NumPy/DuckDB ``quantile_cont``).
 
 Spark's exact ``percentile`` keeps a value->count map per group in one task,
-which breaks on a hot group or a continuous column at scale. Here the values are
-range-partitioned by (group, value) — a hot group spans many partitions — and
+which breaks on a hot group or a continuous column at scale. Two exact paths:
+
+* bounded distinct values per group (scores, ages, levels): (group, value)
+  counts are aggregated map-side, then running sums over that small table give
+  the ranks — a hot group of billions of rows collapses to its distinct values;
+* otherwise (continuous values) the rows are range-partitioned by (group, value) — a hot group spans many partitions — and
 ranks are recovered from a small per-(partition, group) block table:
 
 1. ``repartitionByRange`` + ``sortWithinPartitions`` on (group, value);
@@ -70,11 +74,47 @@ def row_number_in_groups(df: DataFrame, by: list[str], order: list[str], name: s
     return df.join(ranked, back).select(*[F.col(c) for c in df.columns], F.col(name))
 
 
+MAX_DISTINCT_PER_TASK = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
-    """Long result: ``(*by, prob, quantile)``; null values are ignored."""
+                    num_partitions: int | None = None,
+                    max_distinct: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
+    """Long result: ``(*by, prob, quantile)``; null values are ignored. Exact always.
+
+    (group, value) counts are aggregated map-side first. When no group has more
+    than ``max_distinct`` distinct values (scores, ages, counts, levels ...), the
+    quantiles come from running sums over that small count table — one task per
+    group holds at most ``max_distinct`` rows. Otherwise (continuous values) the
+    range-block path over the rows is used, which bounds every task.
+    """
     by = list(by or [])
     base = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    counts = base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    widest = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("__d")).agg(F.max("__d")).first()[0]
+    if widest is not None and widest <= max_distinct:
+        return _quantiles_from_counts(counts, by, probs)
+    return _quantiles_from_rows(base, by, probs, num_partitions)
+
+
+def _quantiles_from_counts(counts: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """Linear-interpolation quantiles from (group, value, count): the value at
+    0-based rank r is the smallest value whose running count exceeds r."""
+    wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    run = counts.withColumn("__cum", F.sum("__c").over(
+        wg.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumn("__n", F.sum("__c").over(wg))
+    p_arr = F.array(*[F.lit(float(p)) for p in probs])
+    x = run.withColumn("prob", F.explode(p_arr)) \
+        .withColumn("__pos", F.col("prob") * (F.col("__n") - 1))
+    lo = F.min(F.when(F.col("__cum") > F.floor("__pos"), F.col("__v")))
+    hi = F.min(F.when(F.col("__cum") > F.ceil("__pos"), F.col("__v")))
+    frac = F.max(F.col("__pos") - F.floor("__pos"))
+    return x.groupBy(*by, "prob").agg((lo + (hi - lo) * frac).alias("quantile"))
+
+
+def _quantiles_from_rows(base: DataFrame, by: list[str], probs: list[float],
+                         num_partitions: int | None) -> DataFrame:
     srt, blocks = _sorted_blocks(base, by, ["__v"], num_partitions)
 
     p_arr = F.array(*[F.lit(float(p)) for p in probs])
@@ -98,10 +138,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
 
 
 def quantile_columns(df: DataFrame, value: str, probs: dict[str, float],
-                     by: list[str] | None = None) -> DataFrame:
+                     by: list[str] | None = None,
+                     max_distinct: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
     """Wide result: one column per named probability, one row per group."""
     by = list(by or [])
-    long = exact_quantiles(df, value, list(probs.values()), by)
+    long = exact_quantiles(df, value, list(probs.values()), by, max_distinct=max_distinct)
     aggs = [F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(name)
             for name, p in probs.items()]
     if by:
