@@ -92,6 +92,9 @@ class MedianImputerModel(Model, HasInputCols, _Fitted, DefaultParamsReadable, De
                             if c in fill else F.col(c)) for c in df.columns])
 
 
+MAX_VOCAB_ROWS = 100_000   # proven bound on what CategoricalPrep pulls to the driver
+
+
 class CategoricalPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """M1 + M4/M5 input in ONE data pass: (column, value) counts give each string
     column's mode (ties -> smallest) and its sorted vocabulary.
@@ -118,7 +121,11 @@ class CategoricalPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         cols = list(dict.fromkeys(imp + idx))
         sub = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
         counts = sub.unpivot([], cols, "column", "value").where(F.col("value").isNotNull()) \
-            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).collect()
+            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")) \
+            .limit(MAX_VOCAB_ROWS + 1).collect()
+        if len(counts) > MAX_VOCAB_ROWS:
+            raise ValueError(f"categorical vocabularies exceed {MAX_VOCAB_ROWS} values; route "
+                             "high-cardinality columns through encode.fit_vocab (join-based)")
         by_col: dict[str, list] = {c: [] for c in cols}
         for r in counts:
             by_col[r["column"]].append((r["value"], r["n"]))
