@@ -366,22 +366,34 @@ def build_baseline_pipeline(model_name: str, params: dict | None = None,
 def fit_train(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit with leave-one-out group features on the training rows only (Hard 1).
 
-    The training frame is checkpointed once into the shared checkpoint folder; the
-    preprocessing prefix is fitted on it, and the learner — which may make many
-    passes — reads a persisted (features, label) frame, so its iterations never
-    re-run the lookup joins and imputers; a lost cached block is recomputed from
-    the reliable checkpoint, not from the source joins."""
+    The training frame is checkpointed once into the shared checkpoint folder.
+    Stages are then fitted in order (as ``Pipeline.fit`` does), but the frame
+    right after the group-aggregate join is persisted, so the later estimators
+    (categorical prep, median imputer, learner input) do not each re-run the
+    lookup joins; the learner — which may make many passes — reads a persisted
+    (features, label) frame. A lost cached block is recomputed from the reliable
+    checkpoint, not from the source joins. Persisted frames are released after."""
     stages = pipeline.getStages()
     learner = stages[-1]
     data = cut_lineage(train.withColumn(G.TRAIN_FLAG, F.lit(True)))
-    prefix = Pipeline(stages=stages[:-1]).fit(data)
-    fc, lc = learner.getFeaturesCol(), learner.getLabelCol()
-    feats = prefix.transform(data).select(fc, F.col(lc).cast("double").alias(lc)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    held: list[DataFrame] = []
     try:
-        return PipelineModel(prefix.stages + [learner.fit(feats)])
+        cur, fitted = data, []
+        for st in stages[:-1]:
+            m = st.fit(cur) if isinstance(st, Estimator) else st
+            fitted.append(m)
+            cur = m.transform(cur)
+            if isinstance(m, GroupAggregatesStageModel):
+                cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(cur)
+        fc, lc = learner.getFeaturesCol(), learner.getLabelCol()
+        feats = cur.select(fc, F.col(lc).cast("double").alias(lc)) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(feats)
+        return PipelineModel(fitted + [learner.fit(feats)])
     finally:
-        feats.unpersist()
+        for h in held:
+            h.unpersist()
 
 
 def predict(model, df: DataFrame, label: str = K.TARGET, id_col: str = "estu_consecutivo",
