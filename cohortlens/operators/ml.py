@@ -363,29 +363,36 @@ def build_baseline_pipeline(model_name: str, params: dict | None = None,
     return Pipeline(stages=stages + [model])
 
 
+def fit_stages(stages: list, data: DataFrame) -> tuple[list, DataFrame, list[DataFrame]]:
+    """Fit stages in order (as ``Pipeline.fit`` does) and return (fitted stages,
+    transformed frame, persisted frames to release). The frame right after the
+    group-aggregate join is persisted, so later estimators do not each re-run
+    the lookup joins."""
+    held: list[DataFrame] = []
+    cur, fitted = data, []
+    for st in stages:
+        m = st.fit(cur) if isinstance(st, Estimator) else st
+        fitted.append(m)
+        cur = m.transform(cur)
+        if isinstance(m, GroupAggregatesStageModel):
+            cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(cur)
+    return fitted, cur, held
+
+
 def fit_train(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit with leave-one-out group features on the training rows only (Hard 1).
 
-    The training frame is checkpointed once into the shared checkpoint folder.
-    Stages are then fitted in order (as ``Pipeline.fit`` does), but the frame
-    right after the group-aggregate join is persisted, so the later estimators
-    (categorical prep, median imputer, learner input) do not each re-run the
-    lookup joins; the learner — which may make many passes — reads a persisted
+    The training frame is checkpointed once into the shared checkpoint folder;
+    the preprocessing stages are fitted with ``fit_stages`` (one lookup join per
+    fit) and the learner — which may make many passes — reads a persisted
     (features, label) frame. A lost cached block is recomputed from the reliable
     checkpoint, not from the source joins. Persisted frames are released after."""
     stages = pipeline.getStages()
     learner = stages[-1]
     data = cut_lineage(train.withColumn(G.TRAIN_FLAG, F.lit(True)))
-    held: list[DataFrame] = []
+    fitted, cur, held = fit_stages(stages[:-1], data)
     try:
-        cur, fitted = data, []
-        for st in stages[:-1]:
-            m = st.fit(cur) if isinstance(st, Estimator) else st
-            fitted.append(m)
-            cur = m.transform(cur)
-            if isinstance(m, GroupAggregatesStageModel):
-                cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
-                held.append(cur)
         fc, lc = learner.getFeaturesCol(), learner.getLabelCol()
         feats = cur.select(fc, F.col(lc).cast("double").alias(lc)) \
             .persist(StorageLevel.MEMORY_AND_DISK)

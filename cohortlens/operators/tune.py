@@ -14,7 +14,7 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,14 +112,16 @@ def _fold_features(data: DataFrame, k: int, linear: bool, id_col: str):
         tr = data.where(F.col("fold") != f).drop("fold")
         va = data.where(F.col("fold") == f).drop("fold")
         full = ml.build_pipeline("ridge" if linear else "tree", None, tr.columns)
-        prefix = Pipeline(stages=full.getStages()[:-1])
-        fitted = prefix.fit(cut_lineage(tr.withColumn(G.TRAIN_FLAG, F.lit(True))))
+        fitted, cur, held = ml.fit_stages(full.getStages()[:-1],
+                                          cut_lineage(tr.withColumn(G.TRAIN_FLAG, F.lit(True))))
+        prefix = PipelineModel(fitted)
         feats = "features" if linear else "raw_features"
-        trx = cut_lineage(fitted.transform(tr.withColumn(G.TRAIN_FLAG, F.lit(True)))
-                          .select(F.col(feats).alias("features"),
-                                  F.col(K.TARGET).cast("double").alias(K.TARGET)))
-        vax = cut_lineage(fitted.transform(va).select(
+        trx = cut_lineage(cur.select(F.col(feats).alias("features"),
+                                     F.col(K.TARGET).cast("double").alias(K.TARGET)))
+        vax = cut_lineage(prefix.transform(va).select(
             id_col, F.col(feats).alias("features"), F.col(K.TARGET).cast("double").alias(K.TARGET)))
+        for h in held:
+            h.unpersist()
         out.append((trx, vax))
     return out
 
