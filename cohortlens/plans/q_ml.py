@@ -59,6 +59,14 @@ def random_search_cv(spark, sf_dir):
     return T.random_search_cv(tr, ["ridge", "lasso"], n_trials=3, k=3, parallelism=2)
 
 
+@register("random_search_boosted")
+def random_search_boosted(spark, sf_dir):
+    """E1-E3 on a boosted-tree space (MLlib GBT profile); boosting rounds capped at 20
+    for a quick run (``max_iter_cap``), every other drawn parameter kept."""
+    tr, _ = _parts(spark, sf_dir)
+    return T.random_search_cv(tr, ["catboost"], n_trials=2, k=3, parallelism=2, max_iter_cap=20)
+
+
 @register("comparison_table")
 def comparison_table(spark, sf_dir):
     tr, _ = _parts(spark, sf_dir)
