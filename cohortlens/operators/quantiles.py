@@ -19,9 +19,10 @@ ranks are recovered from a small per-(partition, group) block table:
 4. a join on those ids (a few rows per group, broadcast by AQE) fetches the
    values; interpolation happens in a final tiny aggregate.
 
-Both uses of the sorted frame come from one logical subtree, so Spark reuses
-the single range exchange; ties only ever swap equal values, so ranks map to
-identical values whatever the fetch order.
+The sorted narrow frame (keys, partition id, position) is written once as a
+reliable checkpoint in ``spark.checkpoint.dir``; the block table and the row
+fetch both read that file, so ranks are consistent by construction (no reliance
+on exchange reuse) and survive executor loss. Ties only ever swap equal values.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.session import cut_lineage
+
 
 def _sorted_blocks(df: DataFrame, by: list[str], order: list[str], nparts: int | None):
     """Range-partition + sort; return (rows with __pid/__mid, per-block offsets)."""
@@ -37,6 +40,11 @@ def _sorted_blocks(df: DataFrame, by: list[str], order: list[str], nparts: int |
            .sortWithinPartitions(*by, *order)
            .withColumn("__pid", F.spark_partition_id())
            .withColumn("__mid", F.monotonically_increasing_id()))
+    # Written once (reliable checkpoint, narrow columns): the block table and the
+    # rows below read the SAME partition ids and positions, whatever the planner
+    # does with the range exchange, and a lost executor re-reads instead of
+    # re-sampling range bounds.
+    srt = cut_lineage(srt)
     blocks = srt.groupBy("__pid", *by).agg(F.count(F.lit(1)).alias("__cnt"),
                                             F.min("__mid").alias("__first"))
     wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -53,10 +61,9 @@ def row_number_in_groups(df: DataFrame, by: list[str], order: list[str], name: s
 
     A hot group is spread over many range partitions instead of one window task;
     each row's rank is its block offset plus its position inside the block. Ranks
-    are computed on the narrow (by, order) projection — both consumers of the
-    range exchange then read identical columns, so Spark reuses one exchange and
-    one set of range bounds — and joined back to the full rows on (by, order),
-    which must be a total order (unique per row).
+    are computed on the narrow (by, order) projection, checkpointed once, and
+    joined back to the full rows on (by, order), which must be a total order
+    (unique per row).
     """
     by, order = list(by), list(order)
     narrow = df.select(*by, *order)

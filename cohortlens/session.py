@@ -12,7 +12,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # exact quantiles / range-block ranks read one range exchange twice: keep reuse on
+    # identical exchanges across query branches (e.g. a cohort join feeding a lookup
+    # and the rows it is applied to) are shuffled once
     "spark.sql.exchange.reuse": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Spark's own size check for broadcast: only sides whose estimated size is
