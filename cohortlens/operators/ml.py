@@ -107,14 +107,19 @@ class CategoricalPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     imputeCols = Param(Params._dummy(), "imputeCols", "columns to impute", TypeConverters.toListString)
     indexCols = Param(Params._dummy(), "indexCols", "columns to index", TypeConverters.toListString)
+    ordinalCols = Param(Params._dummy(), "ordinalCols",
+                        "indexed columns coded as plain ordinals (unknown -> -1)",
+                        TypeConverters.toListString)
     nullPolicy = Param(Params._dummy(), "nullPolicy", "mode | category", TypeConverters.toString)
     fitted = Param(Params._dummy(), "fitted", "json: modes and vocabularies", TypeConverters.toString)
 
     def __init__(self, imputeCols: list[str] | None = None, indexCols: list[str] | None = None,
-                 nullPolicy: str = "mode"):
+                 nullPolicy: str = "mode", ordinalCols: list[str] | None = None):
         super().__init__()
-        self._setDefault(nullPolicy="mode", fitted="{}", imputeCols=[], indexCols=[])
-        self._set(imputeCols=imputeCols or [], indexCols=indexCols or [], nullPolicy=nullPolicy)
+        self._setDefault(nullPolicy="mode", fitted="{}", imputeCols=[], indexCols=[],
+                         ordinalCols=[])
+        self._set(imputeCols=imputeCols or [], indexCols=indexCols or [], nullPolicy=nullPolicy,
+                  ordinalCols=ordinalCols or [])
 
     def _fit(self, df: DataFrame) -> "CategoricalPrepModel":
         imp, idx = self.getOrDefault(self.imputeCols), self.getOrDefault(self.indexCols)
@@ -143,7 +148,7 @@ class CategoricalPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
                 vals.add(K.MISSING_GROUP)
             vocab[c] = sorted(vals)
         m = CategoricalPrepModel()
-        m._set(imputeCols=imp, indexCols=idx,
+        m._set(imputeCols=imp, indexCols=idx, ordinalCols=self.getOrDefault(self.ordinalCols),
                fitted=json.dumps({"modes": modes, "vocab": vocab}, sort_keys=True))
         return m
 
@@ -151,22 +156,28 @@ class CategoricalPrep(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 class CategoricalPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     imputeCols = CategoricalPrep.imputeCols
     indexCols = CategoricalPrep.indexCols
+    ordinalCols = CategoricalPrep.ordinalCols
     fitted = CategoricalPrep.fitted
 
     def __init__(self):
         super().__init__()
-        self._setDefault(fitted="{}", imputeCols=[], indexCols=[])
+        self._setDefault(fitted="{}", imputeCols=[], indexCols=[], ordinalCols=[])
 
     def _transform(self, df: DataFrame) -> DataFrame:
         st = json.loads(self.getOrDefault(self.fitted))
         modes, vocab = st["modes"], st["vocab"]
         out = [(F.coalesce(F.col(c).cast("string"), F.lit(modes[c])).alias(c) if c in modes
                 else F.col(c)) for c in df.columns]
+        ordinal = set(self.getOrDefault(self.ordinalCols))
         for c, vals in vocab.items():
             src = F.coalesce(F.col(c).cast("string"), F.lit(modes[c])) if c in modes \
                 else F.col(c).cast("string")
-            code = F.coalesce(map_label({v: i for i, v in enumerate(vals)}, src),
-                              F.lit(len(vals))).cast("double")
+            pos = map_label({v: i for i, v in enumerate(vals)}, src)
+            if c in ordinal:
+                # M4: learned ordinal code, unknown -> -1 (a plain numeric feature)
+                out.append(F.coalesce(pos, F.lit(-1)).cast("double").alias(f"{c}__idx"))
+                continue
+            code = F.coalesce(pos, F.lit(len(vals))).cast("double")
             meta = {"ml_attr": {"type": "nominal", "name": f"{c}__idx",
                                 "vals": list(vals) + ["__unknown"]}}
             out.append(code.alias(f"{c}__idx", metadata=meta))
@@ -317,7 +328,8 @@ def build_pipeline(model_name: str, params: dict | None = None, columns: list[st
     numeric = [c for c in fc["numeric"] if c in det_out or c in K.GROUP_NUMERIC_COLS]
     stages = [DeterministicFeatures(), GroupAggregatesStage(),
               CategoricalPrep(imputeCols=ordinal_src + binary + nominal,
-                              indexCols=binary + nominal, nullPolicy=null_policy),
+                              indexCols=binary + nominal, ordinalCols=binary,
+                              nullPolicy=null_policy),
               OrdinalEncoderExplicit(),
               MedianImputer(inputCols=numeric)]
     oh_out = [f"{c}__oh" for c in nominal]

@@ -51,3 +51,19 @@ def test_path_contributions_sum_to_prediction(spark):
     pred = ml.predict(model, te)
     j = total.join(pred, "estu_consecutivo").toPandas()
     assert len(j) == te.count() and np.allclose(j.s, j.y_pred, atol=1e-6)
+
+
+def test_categorical_prep_unknown_handling(spark):
+    from pyspark.ml.feature import OneHotEncoder
+    train = spark.createDataFrame([("Si", "A"), ("No", "B"), ("Si", "A"), (None, "A")],
+                                  "flag string, cal string")
+    prep = ml.CategoricalPrep(imputeCols=["flag", "cal"], indexCols=["flag", "cal"],
+                              ordinalCols=["flag"]).fit(train)
+    test = spark.createDataFrame([("Quizas", "OTRO"), (None, "B")], "flag string, cal string")
+    out = prep.transform(test)
+    oh = OneHotEncoder(inputCols=["cal__idx"], outputCols=["cal__oh"], dropLast=True).fit(out)
+    rows = oh.transform(out).collect()
+    assert rows[0]["flag__idx"] == -1.0                      # unseen binary label -> -1
+    assert rows[0]["cal__oh"].numNonzeros() == 0             # unseen nominal -> zero vector
+    assert rows[1]["flag"] == "Si" and rows[1]["flag__idx"] == 1.0   # null -> mode "Si"
+    assert rows[1]["cal__oh"].toArray().tolist() == [0.0, 1.0]
