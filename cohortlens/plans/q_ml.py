@@ -7,6 +7,7 @@ whole test part.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import functions as F
@@ -28,6 +29,11 @@ ID = "estu_consecutivo"
 CUT = R.TRAIN_UNTIL
 
 
+def _scratch_name(kind: str, sf_dir: str) -> str:
+    """Stable folder name per query and input, overwritten on every run."""
+    return f"{kind}-{hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:12]}"
+
+
 def _parts(spark, sf_dir):
     c = cohort(spark, sf_dir)
     return c.where(F.col("periodo") <= CUT), c.where(F.col("periodo") > CUT)
@@ -146,7 +152,7 @@ def bundle_roundtrip(spark, sf_dir):
     tr, te = _parts(spark, sf_dir)
     model = ml.fit_train(ml.build_pipeline("tree", {"maxDepth": 6}, tr.columns), tr)
     metrics = D.regression_report(ml.predict(model, te))
-    out = scratch_path(spark, f"bundle-{os.getpid()}-{abs(hash(sf_dir))}")
+    out = scratch_path(spark, _scratch_name("bundle", sf_dir))
     B.save_bundle(out, model, metrics, {"maxDepth": 6}, B.feature_schema(tr),
                   X.importance_table(model, tr), "tree")
     b = B.load_bundle(spark, out)
@@ -168,7 +174,7 @@ def dataset_fingerprint(spark, sf_dir):
 def parquet_sink_roundtrip(spark, sf_dir):
     """Write the cleaned cohort partitioned by period, read the folder back
     with a period predicate (partition pruning)."""
-    out = scratch_path(spark, f"cohort-{os.getpid()}-{abs(hash(sf_dir))}")
+    out = scratch_path(spark, _scratch_name("cohort", sf_dir))
     S.write_parquet(cohort(spark, sf_dir), out, partition_by=["periodo"])
     return spark.read.parquet(out).where(F.col("periodo") > CUT)
 
@@ -176,7 +182,7 @@ def parquet_sink_roundtrip(spark, sf_dir):
 @register("json_landing_roundtrip")
 def json_landing_roundtrip(spark, sf_dir):
     """All-string JSON landing files -> parquet table."""
-    base = scratch_path(spark, f"landing-{os.getpid()}-{abs(hash(sf_dir))}")
+    base = scratch_path(spark, _scratch_name("landing", sf_dir))
     c = cohort(spark, sf_dir)
     c.select(*[F.col(x).cast("string").alias(x) for x in c.columns]).write.mode("overwrite") \
         .json(os.path.join(base, "json"))
@@ -187,7 +193,7 @@ def json_landing_roundtrip(spark, sf_dir):
 def csv_top_importance(spark, sf_dir):
     """Importance table to CSV, typed CSV scan, top 20."""
     model, tr, _ = _tree_model(spark, sf_dir)
-    path = scratch_path(spark, f"importance-{os.getpid()}-{abs(hash(sf_dir))}")
+    path = scratch_path(spark, _scratch_name("importance", sf_dir))
     S.write_csv(X.importance_table(model, tr), path)
     return S.read_csv_top(spark, path, "feature string, importance double", "importance", 20)
 
