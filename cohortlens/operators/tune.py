@@ -103,6 +103,14 @@ def to_mllib(space: str, p: dict[str, float], n_train: int) -> dict:
     return out
 
 
+def should_prune(trial: int, running_mean: float, earlier: list[float],
+                 n_startup: int = N_STARTUP_TRIALS) -> bool:
+    """Median rule — after ``n_startup`` trials, stop a trial whose running mean
+    fold RMSE at this step is worse than the median of earlier trials at the same step."""
+    return trial >= n_startup and len(earlier) >= n_startup and \
+        running_mean > float(np.median(earlier))
+
+
 def _fold_features(data: DataFrame, k: int, linear: bool, id_col: str):
     """Per fold: fit the preprocessing prefix once on the training folds (LOO flag
     set) and materialise (features, label) of train and validation rows. The prefix
@@ -160,9 +168,7 @@ def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3
                 scores.append(pred.agg(F.sqrt(F.avg((F.col(K.TARGET) - F.col("prediction")) ** 2)))
                               .first()[0])
                 running.setdefault(f, []).append(float(np.mean(scores)))
-                done = running[f][:-1]
-                if t >= N_STARTUP_TRIALS and len(done) >= N_STARTUP_TRIALS and \
-                        np.mean(scores) > float(np.median(done)):
+                if should_prune(t, float(np.mean(scores)), running[f][:-1]):
                     return (space, t, float(np.mean(scores)), "pruned", p)
             return (space, t, float(np.mean(scores)), "complete", p)
 

@@ -79,3 +79,16 @@ def test_comparison_table_picks_best_trial(spark):
     rows = D.comparison_table(trials).collect()
     assert [r["model"] for r in rows] == ["ridge", "lasso"]
     assert rows[0]["best_params"] == {"alpha": 5.0} and rows[0]["n_trials"] == 2
+
+
+def test_median_pruning_rule_and_draws():
+    from cohortlens.operators import tune as T
+    earlier = [40.0, 41.0, 39.0, 42.0, 38.0, 40.5, 39.5, 41.5, 38.5, 40.2]
+    assert not T.should_prune(3, 99.0, earlier[:3])            # still in start-up
+    assert T.should_prune(10, 41.0, earlier)                   # worse than median 40.1
+    assert not T.should_prune(10, 39.0, earlier)
+    a, b = T.draw("xgboost", 4), T.draw("xgboost", 4)
+    assert a == b and 200 <= a["n_estimators"] <= 1000 and 0.01 <= a["learning_rate"] <= 0.3
+    mp = T.to_mllib("xgboost", a, 1000)
+    assert mp["maxIter"] == int(a["n_estimators"]) and "reg_alpha" not in mp
+    assert abs(T.to_mllib("ridge", {"alpha": 10.0}, 1000)["regParam"] - 0.01) < 1e-12
