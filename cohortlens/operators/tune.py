@@ -240,3 +240,35 @@ def robustness_summary(holdout: DataFrame, folds: DataFrame, temporal: DataFrame
                                    F.col("rmse_mean").alias("rmse"), F.col("mae_mean").alias("mae"),
                                    F.col("r2_mean").alias("r2")))
             .unionByName(temporal.select(F.lit("temporal").alias("scheme"), "rmse", "mae", "r2")))
+
+
+def group_kfold_cell_mean(df: DataFrame, group_col: str, cell: list[str],
+                          target: str = K.TARGET, k: int = 5) -> DataFrame:
+    """E7 with a closed-form learner (training-fold mean of a categorical cell),
+    for ALL folds at once and without a driver loop: per (cell, fold) and per cell
+    sums/counts give the leave-fold-out mean (S_c - S_cf) / (N_c - N_cf); a cell
+    absent from the training folds falls back to the training-fold mean. Only
+    partial aggregates over small (cell x fold) tables; per-fold metrics are one
+    ``groupBy(fold)``."""
+    keyed = df.select(group_col, *[F.coalesce(F.col(c).cast("string"), F.lit(K.MISSING_GROUP))
+                                   .alias(c) for c in cell],
+                      F.col(target).cast("double").alias("__y"))
+    f = S.group_kfold_assign(keyed, group_col, k)
+    cf = f.groupBy(*cell, "fold").agg(F.sum("__y").alias("__scf"), F.count(F.lit(1)).alias("__ncf"))
+    ct = f.groupBy(*cell).agg(F.sum("__y").alias("__sc"), F.count(F.lit(1)).alias("__nc"))
+    gf = f.groupBy("fold").agg(F.sum("__y").alias("__sf"), F.count(F.lit(1)).alias("__nf"),
+                               F.count_distinct("group_key").alias("__gf"))
+    tot = f.agg(F.struct(F.sum("__y").alias("s"), F.count(F.lit(1)).alias("n"),
+                         F.count_distinct("group_key").alias("g")).alias("t")).scalar()
+    ntr = F.col("__nc") - F.col("__ncf")
+    y_pred = F.when(ntr > 0, (F.col("__sc") - F.col("__scf")) / ntr) \
+        .otherwise((tot.getField("s") - F.col("__sf")) / (tot.getField("n") - F.col("__nf")))
+    p = f.join(cf, [*cell, "fold"]).join(ct, cell).join(gf, "fold") \
+        .select("fold", "__gf", F.col("__y").alias("y_true"), y_pred.alias("y_pred"))
+    m = D.metric_exprs("y_true", "y_pred")
+    per = p.groupBy("fold", "__gf").agg(m["rmse"].alias("rmse"), m["mae"].alias("mae"),
+                                        m["r2"].alias("r2"), m["n"].alias("n_val"))
+    return per.select((F.col("fold") + 1).cast("int").alias("fold"), "rmse", "mae", "r2",
+                      (tot.getField("n") - F.col("n_val")).alias("n_train"), "n_val",
+                      (tot.getField("g") - F.col("__gf")).alias("n_groups_train"),
+                      F.col("__gf").alias("n_groups_val"))

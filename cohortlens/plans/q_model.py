@@ -8,6 +8,7 @@ from cohortlens import constants as K
 from cohortlens.operators import diagnostics as D
 from cohortlens.operators import groupagg as G
 from cohortlens.operators import split as S
+from cohortlens.operators import tune as T
 from cohortlens.plans import roles as R
 from cohortlens.plans.cohort import PRED_CELL, cohort, predictions
 from cohortlens.plans.oracle import q, with_views
@@ -264,3 +265,45 @@ def naive_baseline_metrics(spark, sf_dir):
     test = c.where(F.col("periodo") > CUT).select(F.col("punt_global").alias("y_true"),
                                                   mu.alias("y_pred"))
     return D.regression_report(test)
+
+
+# ---------------------------------------------------------------- E7 with a closed-form learner
+CV_CELL = ["fami_estratovivienda", "fami_tieneinternet"]
+_CV_SQL = f"""
+    , kk AS (SELECT coalesce(cast(estu_mcpio_reside AS string), '{K.MISSING_GROUP}') AS g,
+               coalesce(fami_estratovivienda, '{K.MISSING_GROUP}') AS c1,
+               coalesce(fami_tieneinternet, '{K.MISSING_GROUP}') AS c2, punt_global AS y FROM cohort),
+    s AS (SELECT g, count(*) AS sz FROM kk GROUP BY g),
+    r AS (SELECT g, row_number() OVER (ORDER BY sz DESC, g) - 1 AS rk FROM s),
+    fo AS (SELECT g, CASE WHEN (rk // 5) % 2 = 0 THEN rk % 5 ELSE 4 - rk % 5 END AS fold FROM r),
+    f AS (SELECT kk.*, fold FROM kk JOIN fo ON kk.g = fo.g),
+    cf AS (SELECT c1, c2, fold, sum(y) AS scf, count(*) AS ncf FROM f GROUP BY 1, 2, 3),
+    ct AS (SELECT c1, c2, sum(y) AS sc, count(*) AS nc FROM f GROUP BY 1, 2),
+    gf AS (SELECT fold, sum(y) AS sf, count(*) AS nf, count(DISTINCT g) AS gfc FROM f GROUP BY 1),
+    tt AS (SELECT sum(y) AS st, count(*) AS nt, count(DISTINCT g) AS gt FROM f),
+    p AS (SELECT f.fold, y AS y_true, gfc, nt, gt,
+            CASE WHEN nc - ncf > 0 THEN (sc - scf) / (nc - ncf) ELSE (st - sf) / (nt - nf) END AS y_pred
+          FROM f JOIN cf ON f.c1 = cf.c1 AND f.c2 = cf.c2 AND f.fold = cf.fold
+                 JOIN ct ON f.c1 = ct.c1 AND f.c2 = ct.c2
+                 JOIN gf ON f.fold = gf.fold, tt),
+    folds AS (SELECT cast(fold + 1 AS int) AS fold,
+                sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS rmse,
+                avg(abs(y_true - y_pred)) AS mae,
+                1 - sum((y_true - y_pred) * (y_true - y_pred)) / nullif(var_pop(y_true) * count(y_true), 0) AS r2,
+                nt - count(*) AS n_train, count(*) AS n_val, gt - gfc AS n_groups_train, gfc AS n_groups_val
+              FROM p GROUP BY fold, nt, gt, gfc)"""
+
+
+@register("group_kfold_cell_mean", sql=with_views(_CV_SQL + " SELECT * FROM folds"),
+          floats=["rmse", "mae", "r2"])
+def group_kfold_cell_mean(spark, sf_dir):
+    return T.group_kfold_cell_mean(cohort(spark, sf_dir), "estu_mcpio_reside", CV_CELL)
+
+
+@register("fold_summary_cell_mean", sql=with_views(_CV_SQL + """
+    SELECT count(*) AS n_splits, avg(rmse) AS rmse_mean, stddev_samp(rmse) AS rmse_std,
+      avg(mae) AS mae_mean, avg(r2) AS r2_mean FROM folds"""),
+          floats=["rmse_mean", "rmse_std", "mae_mean", "r2_mean"])
+def fold_summary_cell_mean(spark, sf_dir):
+    folds = T.group_kfold_cell_mean(cohort(spark, sf_dir), "estu_mcpio_reside", CV_CELL)
+    return D.fold_summary(folds)
