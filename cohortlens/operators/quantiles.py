@@ -19,10 +19,11 @@ ranks are recovered from a small per-(partition, group) block table:
 4. a join on those ids (a few rows per group, broadcast by AQE) fetches the
    values; interpolation happens in a final tiny aggregate.
 
-The sorted narrow frame (keys, partition id, position) is written once as a
-reliable checkpoint in ``spark.checkpoint.dir``; the block table and the row
-fetch both read that file, so ranks are consistent by construction (no reliance
-on exchange reuse) and survive executor loss. Ties only ever swap equal values.
+The block table and the row fetch consume the same narrow range-sorted frame
+(keys, partition id, position): with exchange reuse on (Spark's default) they
+read one range exchange; with it off, the frame is written once as a reliable
+checkpoint in ``spark.checkpoint.dir``. Either way ranks are consistent and
+survive executor loss. Ties only ever swap equal values.
 """
 
 from __future__ import annotations
@@ -40,11 +41,13 @@ def _sorted_blocks(df: DataFrame, by: list[str], order: list[str], nparts: int |
            .sortWithinPartitions(*by, *order)
            .withColumn("__pid", F.spark_partition_id())
            .withColumn("__mid", F.monotonically_increasing_id()))
-    # Written once (reliable checkpoint, narrow columns): the block table and the
-    # rows below read the SAME partition ids and positions, whatever the planner
-    # does with the range exchange, and a lost executor re-reads instead of
-    # re-sampling range bounds.
-    srt = cut_lineage(srt)
+    # The block table and the rows must see the SAME partition ids and positions.
+    # With exchange reuse on (Spark's default) both consumers read one range
+    # exchange — identical narrow columns below it — and a lost executor's map
+    # output is recomputed with that exchange's fixed range bounds. If reuse is
+    # switched off, the sorted narrow frame is written once (reliable checkpoint).
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        srt = cut_lineage(srt)
     blocks = srt.groupBy("__pid", *by).agg(F.count(F.lit(1)).alias("__cnt"),
                                             F.min("__mid").alias("__first"))
     wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -61,8 +64,8 @@ def row_number_in_groups(df: DataFrame, by: list[str], order: list[str], name: s
 
     A hot group is spread over many range partitions instead of one window task;
     each row's rank is its block offset plus its position inside the block. Ranks
-    are computed on the narrow (by, order) projection, checkpointed once, and
-    joined back to the full rows on (by, order), which must be a total order
+    are computed on the narrow (by, order) projection (one shared range exchange)
+    and joined back to the full rows on (by, order), which must be a total order
     (unique per row).
     """
     by, order = list(by), list(order)

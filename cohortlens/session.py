@@ -12,8 +12,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # identical exchanges across query branches (e.g. a cohort join feeding a lookup
-    # and the rows it is applied to) are shuffled once
+    # identical exchanges across query branches are shuffled once (cohort joins,
+    # range-block ranks and exact quantiles rely on it; see quantiles.py)
     "spark.sql.exchange.reuse": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Spark's own size check for broadcast: only sides whose estimated size is
