@@ -186,7 +186,7 @@ def residual_summary(spark, sf_dir):
 
 @register("calibration_by_bucket", sql=with_views(PRED_SQL + f"""
     , e AS (SELECT list_sort(list_distinct(quantile_cont(y_true, [{", ".join(str(i / 10) for i in range(11))}]))) AS edges FROM pred),
-    b AS (SELECT pred.*, edges, greatest(len(list_filter(edges, lambda x: x < y_true)), 1) - 1 AS bucket
+    b AS (SELECT pred.*, edges, cast(greatest(len(list_filter(edges, lambda x: x < y_true)), 1) - 1 AS int) AS bucket
           FROM pred, e)
     SELECT bucket, edges[bucket + 1] AS lower_edge, edges[bucket + 2] AS upper_edge, count(*) AS n,
       avg(y_true) AS mean_true, avg(y_pred) AS mean_pred, avg(y_true - y_pred) AS bias,

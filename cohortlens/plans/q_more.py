@@ -28,8 +28,8 @@ def load_aggregates(spark, sf_dir):
 
 
 @register("features_eda_age", sql=with_views(f"""
-    SELECT {ID}, cast(substring(periodo, 1, 4) AS int)
-      - year(try_strptime(estu_fechanacimiento, '%d/%m/%Y')) AS edad_aprox FROM cohort"""))
+    SELECT {ID}, cast(cast(substring(periodo, 1, 4) AS int)
+      - year(try_strptime(estu_fechanacimiento, '%d/%m/%Y')) AS int) AS edad_aprox FROM cohort"""))
 def features_eda_age(spark, sf_dir):
     """full-date parse (invalid -> null), year difference, no clip."""
     return cohort(spark, sf_dir).select(ID, FX.eda_age().alias("edad_aprox"))

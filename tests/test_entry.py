@@ -42,10 +42,17 @@ def duck():
     return con
 
 
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+            "string": "VARCHAR", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF001)
     cols = sdf.columns
+    rel = duck.sql(E.oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: TYPE_MAP.get(t, t) for c, t in sdf.dtypes} == duck_types
     got = sorted(tuple(_norm(r[c]) for c in sorted(cols)) for r in sdf.collect())
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
