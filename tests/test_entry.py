@@ -43,7 +43,8 @@ def duck():
 
 
 TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
-            "string": "VARCHAR", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
+            "string": "VARCHAR", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]",
+            "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
