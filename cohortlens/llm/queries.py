@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import bpe
+from cohortlens.llm import bpe, exact_dedup, host_rules, near_dup, packing, toxicity
 from cohortlens.llm.common import load
 
 QUERIES = {}
@@ -22,3 +22,67 @@ def query(name: str, sql: str | None = None):
 def op3(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, block=bpe.file_block())
+
+
+OP2_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
+FROM d JOIN g USING (t)
+"""
+
+
+@query("op2_extendible_hash_dedup", OP2_SQL)
+def op2(spark, sf_dir):
+    return exact_dedup.exact_dedup(load(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op8_best_fit_packing")
+def op8(spark, sf_dir):
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+@query("op9_fast_similarity_sketch")
+def op9(spark, sf_dir):
+    return near_dup.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, host, t, regexp_extract_all(t, '[^ \t\n\x0B\f\r]+') AS ws FROM d),
+u AS (SELECT doc_id, unnest(ws) AS w1, unnest(range(1, len(ws) + 1)) AS i FROM w),
+win AS (SELECT doc_id, i, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3
+        FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+rep AS (SELECT doc_id, i, w3 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, w1, w2, w3) > 1 AS r FROM win),
+cov AS (SELECT doc_id, count(*) FILTER (WHERE c) AS n_repeat_words FROM (
+          SELECT doc_id, r OR coalesce(lag(r, 1) OVER o, false) OR coalesce(lag(r, 2) OVER o, false) AS c
+          FROM rep WINDOW o AS (PARTITION BY doc_id ORDER BY i)) GROUP BY doc_id),
+m AS (SELECT w.doc_id, host, len(ws) AS n_words,
+        CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')))
+          - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')))) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words
+      FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+h AS (SELECT host, count(*) AS n, count(*) FILTER (WHERE base_failed OR 10 * n_symbols > word_chars) AS x FROM b GROUP BY host),
+p AS (SELECT sum(x) / sum(n) AS m, sum(n) AS nn, count(*) AS hh, sum(x * x / n) AS s2 FROM h),
+v AS (SELECT m, nn, (s2 - nn * m * m) / nn - m * (1 - m) * hh / nn AS v FROM p),
+k AS (SELECT m, CASE WHEN v > 0 THEN greatest(1.0, m * (1 - m) / v - 1) ELSE nn END AS k FROM v),
+bad AS (SELECT host FROM h, k WHERE (x + m * k) / (n + k) > 0.8)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND host NOT IN (SELECT host FROM bad) AS kept,
+  host IN (SELECT host FROM bad) AS host_rejected
+FROM b
+"""
+
+
+@query("op10_host_rules", OP10_SQL)
+def op10(spark, sf_dir):
+    return host_rules.apply_host_rules(load(spark, sf_dir, "documents"))
+
+
+@query("op5_conv_toxicity")
+def op5(spark, sf_dir):
+    return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
