@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens.session import scratch_path
 from cohortlens.sources.tables import table_path
@@ -45,3 +46,9 @@ def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of docs whose id (null included) is among the kept ids."""
+    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(ids, docs[id_col].eqNullSafe(ids["_kept_id"]), "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import bpe, exact_dedup, host_rules, near_dup, packing, toxicity
+from cohortlens.llm import bpe, chat, exact_dedup, host_rules, html_text, near_dup, packing, toxicity, training_order, warc_revisits
 from cohortlens.llm.common import load
 
 QUERIES = {}
@@ -86,3 +86,71 @@ def op10(spark, sf_dir):
 @query("op5_conv_toxicity")
 def op5(spark, sf_dir):
     return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op4_composite_text_density")
+def op4(spark, sf_dir):
+    return html_text.main_text(load(spark, sf_dir, "pages"))
+
+
+CONTROL_CASE = "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+
+OP7_SQL = """
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, replace(replace(replace(replace(replace(replace(replace(text, '\\', '\\\\'), '<<SYS>>', '<\\<SYS>>'),
+        '<</SYS>>', '<\\</SYS>>'), '</s>', '<\\/s>'), '<s>', '<\\s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]') AS esc FROM r),
+f AS (SELECT *, length(esc) + CASE WHEN role = 'assistant' THEN 4 ELSE 7 + length(role) + 1 + 8 END AS n FROM e)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(n) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+""".replace("\\\\", "\\")
+
+
+@query("op7_schema_fingerprint_chat", OP7_SQL)
+def op7(spark, sf_dir):
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.format_conversations(rows.unionByName(spark.sql(CONTROL_CASE))).drop("layout")
+
+
+ORDER_KEY = 20_250_101
+
+
+@query("op6_feistel_training_order")
+def op6(spark, sf_dir):
+    folder, _ = training_order.write_training_order(load(spark, sf_dir, "documents"), ORDER_KEY)
+    return training_order.read_training_order(spark, folder)
+
+
+OP1_SQL = r"""
+WITH u AS (SELECT page_id AS p, sha256(coalesce(html, '')) AS sha, 1600000000 + (page_id * 7919) % 10000000 AS t,
+             regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM pages),
+s AS (SELECT *, '"' || substr(sha, 1, 16) || '"' AS tag, 'day ' || (t // 86400) AS d,
+        regexp_replace(regexp_replace(lower(regexp_extract(u, '^([^/?]*)', 1)), '^www[.]', ''), ':(80|443)$', '') AS host,
+        regexp_replace(u, '^[^/?]*', '') AS rest FROM u),
+q AS (SELECT *, regexp_replace(regexp_replace(rest, '[?].*$', ''), '/+$', '') AS path,
+        regexp_replace(regexp_replace(regexp_extract(rest, '[?](.*)$', 1),
+          '(^|&)(utm_[a-z]+|ref|fbclid|gclid|sessionid)=[^&]*', '', 'g'), '^&+', '') AS query FROM s),
+c AS (SELECT *, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical_url FROM q),
+v AS (SELECT p * 2 + 1 AS record_id, canonical_url, t + 3600 * (1 + p % 50) AS ts,
+        CASE WHEN p % 10 = 0 THEN '"stale"' WHEN p % 10 IN (1, 3) THEN NULL WHEN p % 10 = 2 THEN 'W/' || tag ELSE tag END AS etag,
+        CASE WHEN p % 10 = 3 THEN NULL ELSE d END AS lm FROM c),
+f AS (SELECT canonical_url, t, max(p) AS p, arg_max(tag, p) AS tag, arg_max(d, p) AS d, arg_max(sha, p) AS sha FROM c GROUP BY 1, 2),
+j AS (SELECT v.*, f.p, f.t, f.tag, f.d, f.sha FROM v ASOF LEFT JOIN f ON v.canonical_url = f.canonical_url AND v.ts > f.t),
+st AS (SELECT *, CASE WHEN p IS NULL THEN 'no_earlier_response' WHEN etag IS NULL AND lm IS NULL THEN 'no_validator'
+         WHEN CASE WHEN etag IS NOT NULL THEN regexp_replace(etag, '^W/', '') = tag ELSE lm = d END THEN 'resolved'
+         ELSE 'validator_mismatch' END AS status FROM j)
+SELECT record_id, canonical_url, ts, status, CASE WHEN status = 'resolved' THEN p * 2 END AS refers_to,
+  CASE WHEN status = 'resolved' THEN sha256('cache-control: max-age=60' || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts
+    || chr(10) || 'etag: ' || tag || chr(10) || 'last-modified: ' || d || chr(10) || 'server: origin') END AS headers_sha256,
+  CASE WHEN status = 'resolved' THEN sha END AS payload_sha256
+FROM st
+"""
+
+
+@query("op1_revisit_resolution", OP1_SQL)
+def op1(spark, sf_dir):
+    return warc_revisits.revisit_table(load(spark, sf_dir, "pages"))
