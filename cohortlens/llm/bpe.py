@@ -74,6 +74,9 @@ def _split_words(bins: int, max_words: int = 1_000_000):
 def _encode_bins(path: str):
     """(bin, block, words) -> (block, words, counts, ids): each distinct word encoded once."""
     def run(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=6).compress
         enc = word_bpe(path)
         table: dict[bytes, bytes] = {}
         current, width = None, enc.dtype.itemsize
@@ -89,7 +92,7 @@ def _encode_bins(path: str):
                         got = table[w] = enc.encode_word(w)
                     ids.append(got)
                 counts = np.fromiter(map(len, ids), dtype="<i4", count=len(ids)) // width
-                out.append((block, words, counts.tobytes(), b"".join(ids)))
+                out.append((block, pack(words), pack(counts.tobytes()), pack(b"".join(ids))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in out], pa.int64())] + [pa.array([r[i] for r in out], pa.binary()) for i in (1, 2, 3)],
                 names=["block", "words", "counts", "ids"])
@@ -101,7 +104,7 @@ def _pack_texts():
     def run(batches):
         import zstandard
 
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=6).compress
         block, ids, texts, size = None, [], [], 0
 
         def flush():
@@ -138,6 +141,7 @@ def _digest(path: str):
                 if b != block:
                     block, table = b, {}
                 if words is not None:
+                    words, counts, ids = unpack(words), unpack(counts), unpack(ids)
                     stops, lo = np.cumsum(np.frombuffer(counts, "<i4")).tolist(), 0
                     pieces = [enc.pieces[i] for i in np.frombuffer(ids, enc.dtype).tolist()]
                     for w, hi in zip(words.split(b"\n"), stops):
