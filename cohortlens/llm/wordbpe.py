@@ -7,7 +7,8 @@ whose merge loop takes byte ranks: every byte is written as a pair (0, byte), or
 (1, byte) for the last byte, which carries the word-end mark. Both loops join the
 lowest-ranked neighbours first, and every vocabulary entry is reachable from its own
 bytes (tested), so the ids equal those of the tokenizers library. Words that hold a
-special token, or a byte 0 or 1, go to the library itself.
+special token, a byte 0 or 1, or characters outside the assigned basic plane (whose
+classes may differ between Unicode tables) go to the library itself.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ def _byte_alphabet() -> dict[str, int]:
     return out | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+UNASSIGNED = frozenset(chr(c) for c in range(1 << 16) if unicodedata.category(chr(c)) in ("Cn", "Cs", "Co"))
+
+
 class _Words(dict):
     """word (bytes) -> its ids as little-endian bytes."""
 
@@ -72,7 +76,7 @@ class WordBpe:
         self._merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks,
                                         special_tokens={})._core_bpe.encode_single_piece
         self._pretokens = regex.compile(PRETOKEN).findall
-        self.size = len(vocab)
+        self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.pieces = [self.library.id_to_token(i).encode() for i in range(self.size)]
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.words = _Words(self.encode_word)
@@ -99,10 +103,12 @@ class WordBpe:
 
     def encode_word(self, word: bytes) -> bytes:
         """Ids of one word without ASCII white space inside."""
-        if b"\0" in word or b"\1" in word or (b"<|" in word and any(s in word for s in self.specials)):
-            return self._ids(self.library.encode(word.decode(), add_special_tokens=False).ids)
         s = word.decode()
+        if b"\0" in word or b"\1" in word or (b"<|" in word and any(x in word for x in self.specials)):
+            return self._ids(self.library.encode(s, add_special_tokens=False).ids)
         if not s.isascii():
+            if max(s) > "\uffff" or not UNASSIGNED.isdisjoint(s):
+                return self._ids(self.library.encode(s, add_special_tokens=False).ids)
             s = unicodedata.normalize("NFC", s)
             if "Σ" in s:  # the library lowers each character alone: no final sigma
                 s = s.replace("Σ", "σ")
