@@ -102,11 +102,12 @@ def correlation_ratio(df: DataFrame, cats: list[str], target: str) -> DataFrame:
     Rows with null target or null category are left out of that feature.
     """
     y = _y(target)
-    long = _unpivot_cats(df.where(y.isNotNull()), cats, target) \
-        .where(F.col("category").isNotNull())
-    cell = long.groupBy("feature", "category").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_y(target)).alias("s"),
-        F.sum(_y(target) * _y(target)).alias("q"))
+    # reduce first: one row per combination of categories, then fan out that table
+    combos = (df.where(y.isNotNull()).groupBy(*[F.col(c).cast("string").alias(c) for c in cats])
+              .agg(F.count(F.lit(1)).alias("__n"), F.sum(y).alias("__s"), F.sum(y * y).alias("__q")))
+    cell = (combos.unpivot(["__n", "__s", "__q"], cats, "feature", "category")
+            .where(F.col("category").isNotNull()).groupBy("feature", "category")
+            .agg(F.sum("__n").alias("n"), F.sum("__s").alias("s"), F.sum("__q").alias("q")))
     feat = cell.groupBy("feature").agg(
         F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"),
         F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between_raw"),
@@ -121,15 +122,16 @@ def correlation_ratio(df: DataFrame, cats: list[str], target: str) -> DataFrame:
 def cramers_v(df: DataFrame, cats: list[str]) -> DataFrame:
     """Q13: Cramér's V for every pair (no bias correction).
 
-    Each row emits one (pair, a, b) cell per pair, aggregated with a partial
-    count; chi^2 = n * (sum O^2 / (row * col) - 1) uses only non-empty cells.
+    Rows are first counted per combination of all categories; each combination then
+    emits one (pair, a, b) cell per pair with its count. chi^2 = n * (sum O^2 / (row * col) - 1)
+    uses only non-empty cells.
     """
     pairs = list(combinations(cats, 2))
-    sub = df.select(*[F.col(c).cast("string").alias(c) for c in cats])
+    sub = df.groupBy(*[F.col(c).cast("string").alias(c) for c in cats]).agg(F.count(F.lit(1)).alias("__n"))
     cells = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                                F.col(a).alias("a"), F.col(b).alias("b")) for a, b in pairs])
-    long = sub.select(F.inline(cells)).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    obs = long.groupBy("feature_a", "feature_b", "a", "b").agg(F.count(F.lit(1)).alias("o"))
+    long = sub.select("__n", F.inline(cells)).where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    obs = long.groupBy("feature_a", "feature_b", "a", "b").agg(F.sum("__n").alias("o"))
     rows = obs.groupBy("feature_a", "feature_b", "a").agg(F.sum("o").alias("row_tot"))
     cols = obs.groupBy("feature_a", "feature_b", "b").agg(F.sum("o").alias("col_tot"))
     j = obs.join(rows, ["feature_a", "feature_b", "a"]).join(cols, ["feature_a", "feature_b", "b"])

@@ -31,7 +31,9 @@ def dedupe_keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def duplicate_rank(df: DataFrame, key: str, order: list[str],
                    name: str = "duplicate_count") -> DataFrame:
-    """Running count per id in ``order`` (= row_number), skew-safe; null ids dropped."""
+    """Running count per id in ``order`` (= row_number), skew-safe; null ids dropped.
+
+    Rows are numbered where they lie, so k identical rows are k rows numbered 1..k."""
     return row_number_in_groups(df.where(F.col(key).isNotNull()), [key], order, name=name)
 
 

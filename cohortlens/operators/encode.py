@@ -40,9 +40,7 @@ def impute_modes(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None
 def fit_medians(df: DataFrame, cols: list[str]) -> Column:
     """M2: exact median per numeric column (linear interpolation), as one scalar struct.
 
-    Uses the adaptive exact quantiles: columns with a bounded set of values
-    (ages, counts, levels, per-group shares) are ranked from map-side value
-    counts; continuous columns fall back to the range-block path."""
+    One exact selection for all columns (see quantiles.select_ranks)."""
     long = _long(df, cols, "double").where(F.col("value").isNotNull())
     med = quantile_columns(long, "value", {"median": 0.5}, ["column"])
     return _medians_wide(med, cols).select(F.struct(*cols).alias("m")).scalar()
@@ -79,12 +77,15 @@ def fit_vocab(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def ordinal_learned(df: DataFrame, cols: list[str], vocab: DataFrame, id_col: str) -> DataFrame:
-    """M4: per column learned index; unknown or null -> -1 (long -> wide by a small join)."""
-    long = df.select(id_col, *[F.col(c).cast("string").alias(c) for c in cols]) \
-        .unpivot([id_col], cols, "column", "value")
-    j = long.join(vocab, ["column", "value"], "left") \
-        .withColumn("idx", F.coalesce(F.col("idx"), F.lit(-1)))
-    return j.groupBy(id_col).pivot("column", cols).agg(F.first("idx"))
+    """M4: per column learned index; unknown or null -> -1. Each column meets its own
+    vocabulary in one equi-join on the row (broadcast by Spark's size check when small)."""
+    out = df.select(id_col, *cols)
+    for c in cols:
+        v = vocab.where(F.col("column") == c).select(F.col("value").alias("__v"), F.col("idx").alias("__i"))
+        rest = [out[x] for x in out.columns if x != c]
+        out = out.join(v, out[c].cast("string") == v["__v"], "left") \
+            .select(*rest, F.coalesce("__i", F.lit(-1)).alias(c))
+    return out.select(id_col, *cols)
 
 
 def one_hot_long(df: DataFrame, cols: list[str], vocab: DataFrame, id_col: str) -> DataFrame:

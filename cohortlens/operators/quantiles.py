@@ -1,160 +1,124 @@
-"""Exact, distributed quantiles with linear interpolation (NumPy/DuckDB ``quantile_cont``).
-
-Spark's exact ``percentile`` keeps a value->count map per group in one task,
-which breaks on a hot group or a continuous column at scale. Two exact paths:
-
-* bounded distinct values per group (scores, ages, levels): (group, value)
-  counts are aggregated map-side, then running sums over that small table give
-  the ranks — a hot group of billions of rows collapses to its distinct values;
-* otherwise (continuous values) the rows are range-partitioned by (group, value) — a hot group spans many partitions — and
-ranks are recovered from a small per-(partition, group) block table:
-
-1. ``repartitionByRange`` + ``sortWithinPartitions`` on (group, value);
-   ``monotonically_increasing_id`` is then the row's position inside its
-   partition.
-2. blocks = (partition, group) -> count, first position (a partial aggregate);
-   a running sum over partitions gives each block's rank offset.
-3. for every probability, the two ranks around ``p*(n-1)`` are mapped to the
-   one block that holds them, giving the exact row ids to fetch.
-4. a join on those ids (a few rows per group, broadcast by AQE) fetches the
-   values; interpolation happens in a final tiny aggregate.
-
-The block table and the row fetch consume the same narrow range-sorted frame
-(keys, partition id, position): with exchange reuse on (Spark's default) they
-read one range exchange; with it off, the frame is written once as a reliable
-checkpoint in ``spark.checkpoint.dir``. Either way ranks are consistent and
-survive executor loss. Ties only ever swap equal values.
+"""Exact order statistics and ranks for any group size.
+
+Selection (quantiles, medians, the k-th smallest hash of a split) never sorts or ranks a
+whole column. One method for all sizes:
+
+1. one partial + final aggregate gives each group's row count and, from a mergeable
+   approximate percentile, a bracket of values that must hold the wanted ranks;
+2. a second pass counts the rows below each bracket (partial aggregate) and keeps the few
+   rows inside it, folded to (value, count);
+3. a running count over the folded rows picks the value of each wanted rank exactly. A
+   rank outside its bracket raises an error instead of giving a wrong value.
+
+The brackets hold about ``2 * MARGIN`` of a group's rows; a column with few distinct values
+folds to those. No job runs while the plan is built.
+
+Ranks of all rows (``row_number_in_groups``) need a total order: the rows themselves go once
+through a range exchange on (group, order), so a hot group spans many partitions, and are
+written to the shared checkpoint folder; a rank is the row's place in its partition plus the
+counts of the partitions before it. Rows are never joined back, so identical rows get one
+rank each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.session import cut_lineage
 
+ACCURACY = 10_000   # of the approximate percentile: rank error of about 1 / ACCURACY
+MARGIN = 0.002      # half width of a bracket, as a share of the group: 20 times that error
 
-def _sorted_blocks(df: DataFrame, by: list[str], order: list[str], nparts: int | None):
-    """Range-partition + sort; return (rows with __pid/__mid, per-block offsets)."""
-    nparts = nparts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    srt = (df.repartitionByRange(nparts, *by, *order)
-           .sortWithinPartitions(*by, *order)
-           .withColumn("__pid", F.spark_partition_id())
-           .withColumn("__mid", F.monotonically_increasing_id()))
-    # The block table and the rows must see the SAME partition ids and positions.
-    # With exchange reuse on (Spark's default) both consumers read one range
-    # exchange — identical narrow columns below it — and a lost executor's map
-    # output is recomputed with that exchange's fixed range bounds. If reuse is
-    # switched off, the sorted narrow frame is written once (reliable checkpoint).
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        srt = cut_lineage(srt)
-    blocks = srt.groupBy("__pid", *by).agg(F.count(F.lit(1)).alias("__cnt"),
-                                            F.min("__mid").alias("__first"))
-    wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    blocks = (blocks
-              .withColumn("__off", F.coalesce(F.sum("__cnt").over(
-                  wg.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("__n", F.sum("__cnt").over(wg)))
-    return srt, blocks
 
+def _null_safe(left: DataFrame, by: list[str], right_prefix: str) -> Column:
+    cond = F.lit(True)
+    for k in by:
+        cond = cond & left[k].eqNullSafe(F.col(f"{right_prefix}{k}"))
+    return cond
 
-def row_number_in_groups(df: DataFrame, by: list[str], order: list[str], name: str = "rn",
-                         num_partitions: int | None = None) -> DataFrame:
-    """Skew-safe ``row_number() OVER (PARTITION BY by ORDER BY order)`` (1-based).
 
-    A hot group is spread over many range partitions instead of one window task;
-    each row's rank is its block offset plus its position inside the block. Ranks
-    are computed on the narrow (by, order) projection (one shared range exchange)
-    and joined back to the full rows on (by, order), which must be a total order
-    (unique per row).
-    """
-    by, order = list(by), list(order)
-    narrow = df.select(*by, *order)
-    srt, blocks = _sorted_blocks(narrow, by, order, num_partitions)
-    b = blocks.select(F.col("__pid").alias("__bpid"),
-                      *[F.col(k).alias(f"__bk{i}") for i, k in enumerate(by)],
-                      "__off", "__first")
-    cond = [F.col("__pid") == F.col("__bpid")] + \
-        [F.col(k).eqNullSafe(F.col(f"__bk{i}")) for i, k in enumerate(by)]
-    ranked = srt.join(b, cond).select(
-        *[F.col(c).alias(f"__r{i}") for i, c in enumerate(by + order)],
-        (F.col("__off") + F.col("__mid") - F.col("__first") + 1).alias(name))
-    keys = by + order
-    back = [F.col(c).eqNullSafe(F.col(f"__r{i}")) for i, c in enumerate(keys)]
-    return df.join(ranked, back).select(*[F.col(c) for c in df.columns], F.col(name))
-
-
-MAX_DISTINCT_PER_TASK = 1_000_000
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
-                    num_partitions: int | None = None,
-                    max_distinct: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
-    """Long result: ``(*by, prob, quantile)``; null values are ignored. Exact always.
-
-    (group, value) counts are aggregated map-side first. When no group has more
-    than ``max_distinct`` distinct values (scores, ages, counts, levels ...), the
-    quantiles come from running sums over that small count table — one task per
-    group holds at most ``max_distinct`` rows. Otherwise (continuous values) the
-    range-block path over the rows is used, which bounds every task.
+def select_ranks(df: DataFrame, value: str, wanted: list[tuple[float, Column]], by: list[str] | None = None) -> DataFrame:
+    """The value at given 0-based ranks of each group, exactly.
+
+    ``wanted``: (share, rank) pairs; ``rank`` is a column over the group's row count ``__n``
+    and must lie near ``share * __n``. Nulls are ignored. Result: (*by, __n, which, value),
+    ``which`` being the pair's position; a rank outside [0, n) gives no row.
     """
     by = list(by or [])
     base = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    counts = base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    widest = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("__d")).agg(F.max("__d")).first()[0]
-    if widest is not None and widest <= max_distinct:
-        return _quantiles_from_counts(counts, by, probs)
-    return _quantiles_from_rows(base, by, probs, num_partitions)
-
-
-def _quantiles_from_counts(counts: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
-    """Linear-interpolation quantiles from (group, value, count): the value at
-    0-based rank r is the smallest value whose running count exceeds r."""
-    wg = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    run = counts.withColumn("__cum", F.sum("__c").over(
-        wg.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))) \
-        .withColumn("__n", F.sum("__c").over(wg))
-    p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    x = run.withColumn("prob", F.explode(p_arr)) \
-        .withColumn("__pos", F.col("prob") * (F.col("__n") - 1))
-    lo = F.min(F.when(F.col("__cum") > F.floor("__pos"), F.col("__v")))
-    hi = F.min(F.when(F.col("__cum") > F.ceil("__pos"), F.col("__v")))
-    frac = F.max(F.col("__pos") - F.floor("__pos"))
-    return x.groupBy(*by, "prob").agg((lo + (hi - lo) * frac).alias("quantile"))
-
-
-def _quantiles_from_rows(base: DataFrame, by: list[str], probs: list[float],
-                         num_partitions: int | None) -> DataFrame:
-    srt, blocks = _sorted_blocks(base, by, ["__v"], num_partitions)
-
-    p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    need = (blocks
-            .withColumn("prob", F.explode(p_arr))
-            .withColumn("__pos", F.col("prob") * (F.col("__n") - 1))
-            .withColumn("__side", F.explode(F.array(F.lit(0), F.lit(1))))
-            .withColumn("__rank", F.when(F.col("__side") == 0, F.floor("__pos"))
-                        .otherwise(F.ceil("__pos")))
-            .where((F.col("__rank") >= F.col("__off"))
-                   & (F.col("__rank") < F.col("__off") + F.col("__cnt")))
-            .select(*by, "prob", "__side", "__pos", "__rank",
-                    (F.col("__first") + F.col("__rank") - F.col("__off")).alias("__mid")))
-
-    fetched = need.join(srt.select("__mid", "__v"), "__mid")
-    lo = F.max(F.when(F.col("__side") == 0, F.col("__v")))
-    hi = F.max(F.when(F.col("__side") == 1, F.col("__v")))
-    frac = F.max(F.col("__pos") - F.floor("__pos"))
-    return (fetched.groupBy(*by, "prob")
-            .agg((lo + (hi - lo) * frac).alias("quantile")))
-
-
-def quantile_columns(df: DataFrame, value: str, probs: dict[str, float],
-                     by: list[str] | None = None,
-                     max_distinct: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
+    shares = [min(1.0, max(0.0, s + d)) for s, _ in wanted for d in (-MARGIN, MARGIN)]
+    probs = F.array(*[F.lit(s) for s in shares])
+    stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"),
+                                  F.percentile_approx("__v", probs, ACCURACY).alias("__q"),
+                                  F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    edges = []
+    for i, (share, rank) in enumerate(wanted):
+        small = F.col("__n") * MARGIN < 4  # the margin must cover a few ranks: small groups are taken whole
+        lo = F.when(small | F.lit(share - MARGIN <= 0), F.col("__lo")).otherwise(F.col("__q")[2 * i])
+        hi = F.when(small | F.lit(share + MARGIN >= 1), F.col("__hi")).otherwise(F.col("__q")[2 * i + 1])
+        edges.append(F.struct(F.lit(i).alias("which"), rank.cast("long").alias("rank"), lo.alias("lo"), hi.alias("hi")))
+    stats = stats.select(*[F.col(k).alias(f"__g_{k}") for k in by], "__n", F.array(*edges).alias("__e"))
+    if by:
+        rows = base.join(stats, _null_safe(base, by, "__g_"))
+    else:
+        one = stats.select(F.struct("__n", "__e").alias("s")).scalar()
+        rows = base.withColumns({"__n": one.getField("__n"), "__e": one.getField("__e")})
+    below = F.array(*[F.count_if(F.col("__v") < F.col("__e")[i]["lo"]) for i in range(len(wanted))])
+    counts = rows.groupBy(*by).agg(below.alias("__below"))
+    folded = (rows.select(*by, "__v", "__n", F.explode(F.filter("__e", lambda e: (F.col("__v") >= e["lo"]) & (F.col("__v") <= e["hi"]))).alias("e"))
+              .groupBy(*by, F.col("e.which").alias("which"), "__v")
+              .agg(F.count(F.lit(1)).alias("__c"), F.max("__n").alias("__n"), F.max("e.rank").alias("__rank")))
+    if by:
+        counts = counts.select(*[F.col(k).alias(f"__b_{k}") for k in by], "__below")
+        inside = folded.join(counts, _null_safe(folded, by, "__b_"))
+    else:
+        inside = folded.withColumn("__below", counts.scalar())
+    w = Window.partitionBy(*by, "which").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    run = inside.withColumn("__cum", F.col("__below")[F.col("which")] + F.sum("__c").over(w))
+    hit = (F.col("__cum") > F.col("__rank"))
+    picked = run.groupBy(*by, "which").agg(
+        F.max("__n").alias("__n"), F.max("__rank").alias("__rank"), F.min(F.when(hit, F.col("__v"))).alias("value"),
+        F.max(F.element_at("__below", F.col("which") + 1)).alias("__below"))
+    valid = (F.col("__rank") >= 0) & (F.col("__rank") < F.col("__n"))
+    lost = F.col("value").isNull() | (F.col("__rank") < F.col("__below"))
+    return picked.where(valid).select(*by, "__n", "which", F.when(
+        lost, F.raise_error(F.lit("rank outside its bracket"))).otherwise(F.col("value")).alias("value"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
+    """Long result: ``(*by, prob, quantile)`` with linear interpolation; nulls are ignored."""
+    by = list(by or [])
+    wanted = []
+    for p in probs:
+        at = F.lit(float(p)) * (F.col("__n") - 1)
+        wanted += [(p, F.floor(at)), (p, F.ceil(at))]
+    got = select_ranks(df, value, wanted, by)
+    prob = F.array(*[F.lit(float(p)) for p in probs])[F.floor(F.col("which") / 2).cast("int")]
+    lo = F.max(F.when(F.col("which") % 2 == 0, F.col("value")))
+    hi = F.max(F.when(F.col("which") % 2 == 1, F.col("value")))
+    at = F.max(F.col("prob") * (F.col("__n") - 1))
+    return got.withColumn("prob", prob).groupBy(*by, "prob").agg((lo + (hi - lo) * (at - F.floor(at))).alias("quantile"))
+
+
+def quantile_columns(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
     """Wide result: one column per named probability, one row per group."""
     by = list(by or [])
-    long = exact_quantiles(df, value, list(probs.values()), by, max_distinct=max_distinct)
-    aggs = [F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(name)
-            for name, p in probs.items()]
-    if by:
-        return long.groupBy(*by).agg(*aggs)
-    return long.agg(*aggs)
+    long = exact_quantiles(df, value, list(probs.values()), by)
+    aggs = [F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(name) for name, p in probs.items()]
+    return long.groupBy(*by).agg(*aggs) if by else long.agg(*aggs)
+
+
+def row_number_in_groups(df: DataFrame, by: list[str], order: list[str], name: str = "rn",
+                         num_partitions: int | None = None) -> DataFrame:
+    """Skew-safe ``row_number() OVER (PARTITION BY by ORDER BY order)`` (1-based), in place."""
+    by, order = list(by), list(order)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut_lineage(df.repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
+                       .withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id()))
+    blocks = rows.groupBy("__pid", *by).agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__first"))
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col("__pid").alias("__bpid"), *[F.col(k).alias(f"__b_{k}") for k in by], "__first",
+                           F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
+    ranked = rows.join(blocks, (rows["__pid"] == F.col("__bpid")) & _null_safe(rows, by, "__b_"))
+    return ranked.select(*[rows[c] for c in df.columns], (F.col("__off") + F.col("__mid") - F.col("__first") + 1).alias(name))

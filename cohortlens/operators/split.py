@@ -2,9 +2,9 @@
 
 Randomness comes from a hash of a stable id and a seed — ``md5(id || '#seed')``
 is identical in Spark and DuckDB — never from partition layout, so a split is
-the same on any cluster size and after executor loss. Ranks use the skew-safe
-range-block row number; group folds rank the (small) group-size table and join
-it back.
+the same on any cluster size and after executor loss. Splits compare rows with a
+selected threshold; folds that deal rows in order use the range-block row number;
+group folds rank the (small) group-size table.
 """
 
 from __future__ import annotations
@@ -13,22 +13,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
-from cohortlens.operators.quantiles import row_number_in_groups
+from cohortlens.operators.quantiles import row_number_in_groups, select_ranks
 
 
 def split_hash(id_col: str, seed: int = K.SEED) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"#{seed}")))
 
 
+def _hash_number(h: Column) -> Column:
+    """The first 52 bits of an md5: exact as a double, and as good as the whole for order."""
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint").cast("double")
+
+
 def stratified_split(df: DataFrame, id_col: str, stratum: str = "periodo",
                      test_size: float = 0.2, seed: int = K.SEED) -> DataFrame:
-    """Exact per-stratum split: the first round(test_size * n) rows by hash are test."""
-    h = df.withColumn("__h", split_hash(id_col, seed))
-    ranked = row_number_in_groups(h, [stratum], ["__h", id_col], name="__rk")
-    sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("__ns"))
-    out = ranked.join(sizes, ranked[stratum].eqNullSafe(sizes[stratum])).drop(sizes[stratum])
-    role = F.when(F.col("__rk") <= F.round(F.lit(test_size) * F.col("__ns")), "test").otherwise("train")
-    return out.select(*df.columns, role.alias("role"))
+    """Exact per-stratum split: the round(test_size * n) rows of least hash are test.
+
+    Only the threshold hash of each stratum is selected; rows are compared with it, never
+    ranked or joined to themselves (ids are unique, so thresholds cut exactly)."""
+    h = df.withColumn("__h", _hash_number(split_hash(id_col, seed)))
+    last = F.round(F.lit(test_size) * F.col("__n")) - 1
+    cut = select_ranks(h, "__h", [(test_size, last)], [stratum]) \
+        .select(F.col(stratum).alias("__s"), F.col("value").alias("__cut"))
+    out = h.join(cut, h[stratum].eqNullSafe(cut["__s"]), "left")
+    role = F.when(F.col("__h") <= F.col("__cut"), "test").otherwise("train")
+    return out.select(*[h[c] for c in df.columns], role.alias("role"))
 
 
 def kfold_assign(df: DataFrame, id_col: str, k: int = 5, seed: int = K.SEED) -> DataFrame:
@@ -80,21 +89,13 @@ def temporal_split(df: DataFrame, period_col: str = "periodo", train_until: str
 
 
 def seeded_sample(df: DataFrame, id_col: str, n: int, seed: int = K.SEED) -> DataFrame:
-    """Exact, reproducible simple random sample of n rows: the n smallest
-    (md5 hash, id) pairs.
-
-    A plain ``orderBy().limit(n)`` ships n rows from EVERY partition to one task.
-    Instead, rows are first kept only when the 32-bit md5 prefix (uniform) lies
-    below a threshold sized for about 3n expected survivors; the exact top-n is
-    then taken among those few rows. If fewer than n survive, the threshold
-    widens (x4) until it covers everything — always the exact answer."""
-    h = df.withColumn("__h", split_hash(id_col, seed)) \
-        .withColumn("__p", F.conv(F.substring("__h", 1, 8), 16, 10).cast("bigint"))
-    total = df.count()
-    frac = min(1.0, 3.0 * n / max(total, 1) + 1e-6)
-    while True:
-        cut = int(frac * (1 << 32))
-        cand = h.where(F.col("__p") < F.lit(cut)) if frac < 1.0 else h
-        if frac >= 1.0 or cand.count() >= n:
-            return cand.orderBy("__h", id_col).limit(n).drop("__h", "__p")
-        frac = min(1.0, frac * 4)
+    """Exact, reproducible simple random sample: the n rows of least (md5 hash, id).
+
+    A plain ``orderBy().limit(n)`` ships n rows from every partition to one task. Hashes are
+    uniform, so a bound below which 2n + 100 rows are expected holds the n least of them
+    (fewer than n with a chance below 1e-9); only those rows are ordered."""
+    full = split_hash(id_col, seed)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    bound = F.lit(float(1 << 52)) * (2.0 * n + 100) / total
+    h = df.withColumn("__h", full).where(_hash_number(F.col("__h")) < bound)
+    return h.orderBy("__h", id_col).limit(n).drop("__h")

@@ -43,16 +43,22 @@ def get_session(master: str | None = None, app_name: str = "cohortlens",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
+    """The shared checkpoint folder: the context's, else the one in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we pick a scratch folder.
-    """
+    Only a local master may go without: then a scratch folder is chosen. On a cluster that
+    folder would be the driver's alone, so a missing setting is an error."""
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc.getCheckpointDir() is not None:
+        d = os.path.dirname(sc.getCheckpointDir().rstrip("/"))  # Spark adds a folder of its own
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
+    if not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
