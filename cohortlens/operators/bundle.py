@@ -71,13 +71,20 @@ def save_bundle(out_dir: str, model: PipelineModel, metrics: DataFrame, params:
         write_csv(importance.coalesce(1), os.path.join(out_dir, "importance"))
 
 
-def load_bundle(spark: SparkSession, out_dir: str) -> dict:
-    """Load the model and the small tables back."""
+# declared, never inferred: a column that is null in every row stays
+METRICS_SCHEMA = "n bigint, rmse double, mae double, r2 double"
+FEATURE_SCHEMA = "column string, dtype string, n_unique bigint, domain array<string>"
+
+
+def load_bundle(spark: SparkSession, out_dir: str, with_importance: bool = True) -> dict:
+    """Load the model and the small tables back, the importance table included."""
     return {
         "pipeline": PipelineModel.load(os.path.join(out_dir, "pipeline")),
-        "metrics": spark.read.json(os.path.join(out_dir, "metrics")),
-        "params": spark.read.json(os.path.join(out_dir, "params")),
-        "feature_schema": spark.read.json(os.path.join(out_dir, "feature_schema")),
+        "metrics": spark.read.schema(METRICS_SCHEMA).json(os.path.join(out_dir, "metrics")),
+        "params": spark.read.schema("model string, params string").json(os.path.join(out_dir, "params")),
+        "feature_schema": spark.read.schema(FEATURE_SCHEMA).json(os.path.join(out_dir, "feature_schema")),
+        "importance": spark.read.schema("feature string, importance double").option("header", True)
+        .csv(os.path.join(out_dir, "importance")) if with_importance else None,
     }
 
 

@@ -112,7 +112,7 @@ def scatter_sample(df: DataFrame, id_col: str, y: str = "y_true", p: str = "y_pr
 def density_by_group(df: DataFrame, id_col: str, group: str, value: str, n: int = 20_000,
                      bins: int = 40) -> DataFrame:
     """Per-group density of ``value`` on a common fixed-width grid over a sample."""
-    s = seeded_sample(df.select(id_col, group, value), id_col, n).cache()
+    s = seeded_sample(df.select(id_col, group, value), id_col, n)
     mm = s.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("m")).scalar()
     lo, hi = mm.getField("lo"), mm.getField("hi")
     width = (hi - lo) / bins

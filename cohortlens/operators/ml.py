@@ -69,8 +69,8 @@ class ModeImputerModel(Model, HasInputCols, _Fitted, DefaultParamsReadable, Defa
 
 
 class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """M2: exact median imputation (not approxQuantile), via the adaptive exact
-    quantiles (value counts for bounded domains, range blocks otherwise)."""
+    """M2: exact median imputation (not approxQuantile). A column without any value is an
+    error, not a silent constant."""
 
     def __init__(self, inputCols: list[str] | None = None):
         super().__init__()
@@ -79,8 +79,11 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
     def _fit(self, df: DataFrame) -> "MedianImputerModel":
         cols = self.getInputCols()
         m = E.collect_medians(df, cols)
+        empty = [c for c in cols if m[c] is None]
+        if empty:
+            raise ValueError(f"no value to take a median of: {empty}")
         model = MedianImputerModel()
-        model._set(inputCols=cols, fittedValues=[repr(float(m[c] or 0.0)) for c in cols])
+        model._set(inputCols=cols, fittedValues=[repr(float(m[c])) for c in cols])
         return model
 
 
@@ -200,9 +203,10 @@ class GroupAggregatesStage(Estimator, MLReadable, MLWritable):
 
     def _fit(self, df: DataFrame) -> "GroupAggregatesStageModel":
         m, d = G.fit_lookups(df)
-        # one row per municipality / department: small, reused by every later stage;
-        # the five fallbacks become literals, so later plans carry no subqueries
-        m, d = m.cache(), d.cache()
+        # one row per municipality / department, reused by every later stage: written once to
+        # the shared folder, so nothing stays cached after the fit; the five fallbacks become
+        # literals, so later plans carry no subqueries
+        m, d = cut_lineage(m), cut_lineage(d)
         return GroupAggregatesStageModel(m, d, G.collect_fallbacks(m, d))
 
     def write(self) -> MLWriter:
@@ -269,35 +273,70 @@ class _LookupReader(_ParamsOnlyReader):
 
 
 # ---------------------------------------------------------------- models
+# FIXED VALUES: the reference's fixed settings (name, value)
+RIDGE_ALPHA = 50.0
+LASSO_ALPHA = 50.0
+LASSO_MAX_ITER = 2000
+TREE_DEPTH = 8
+FOREST_TREES = 400
+FOREST_DEPTH = 12
+BOOSTED_ROUNDS = 400
+BOOSTED_DEPTH = 6
+
+
 def make_model(name: str, params: dict | None = None, label: str = K.TARGET):
-    """MLlib learner for a reference model name; params use MLlib names."""
+    """MLlib learner for a reference model name; params use MLlib names, plus
+    ``alpha`` for ridge and lasso (the reference's own penalty).
+
+    The reference's ridge minimises sum of squares + alpha |w|^2; MLlib's half the mean square
+    + regParam / (2 s) |w|^2 with s the label's standard deviation: regParam = alpha s / n, set
+    when the rows are known (``set_penalty``). Both lassos use half the mean square and |w| in
+    label units: regParam = alpha."""
     p = dict(params or {})
     common = {"featuresCol": "features", "labelCol": label, "predictionCol": "prediction"}
     if name == "linear":
         return LinearRegression(regParam=0.0, solver="normal", **common, **p)
     if name == "ridge":
-        return LinearRegression(elasticNetParam=0.0, standardization=False, **common,
-                                **{"regParam": 1.0, **p})
+        alpha = p.pop("alpha", RIDGE_ALPHA)
+        model = LinearRegression(elasticNetParam=0.0, standardization=False, **common, **p)
+        model.ridge_alpha = None if "regParam" in p else alpha
+        return model
     if name == "lasso":
-        return LinearRegression(elasticNetParam=1.0, standardization=False, maxIter=2000,
-                                **common, **{"regParam": 1.0, **p})
+        alpha = p.pop("alpha", LASSO_ALPHA)
+        return LinearRegression(elasticNetParam=1.0, standardization=False, **common,
+                                **{"maxIter": LASSO_MAX_ITER, "regParam": alpha, **p})
     if name == "tree":
-        return DecisionTreeRegressor(seed=K.SEED, **common, **{"maxDepth": 8, **p})
+        return DecisionTreeRegressor(seed=K.SEED, **common, **{"maxDepth": TREE_DEPTH, **p})
     if name == "forest":
-        return RandomForestRegressor(seed=K.SEED, **common, **{"numTrees": 50, "maxDepth": 8, **p})
+        return RandomForestRegressor(seed=K.SEED, **common, **{
+            "numTrees": FOREST_TREES, "maxDepth": FOREST_DEPTH, "featureSubsetStrategy": "all", **p})
     if name in GBT_PROFILES:
         return GBTRegressor(seed=K.SEED, **common, **{**GBT_PROFILES[name], **p})
     raise ValueError(f"unknown model {name!r}")
 
 
-# Boosted-tree profiles: MLlib GBTRegressor settings standing in for the three
-# booster libraries (small default budgets; tuning draws from the full spaces).
+def label_stats(df: DataFrame, label: str = K.TARGET) -> tuple[int, float]:
+    r = df.agg(F.count(F.lit(1)), F.stddev_pop(label)).first()
+    return r[0], r[1] or 0.0
+
+
+def set_penalty(model, n_rows: int, label_std: float):
+    """Ridge penalty for the rows of this fit (all other learners stay as they are)."""
+    if getattr(model, "ridge_alpha", None) is not None:
+        model.setRegParam(model.ridge_alpha * label_std / max(n_rows, 1))
+    return model
+
+
+# Boosted trees: MLlib GBTRegressor settings standing in for gradient boosting and the three
+# booster libraries. Rounds and depth default to the reference's; a caller that wants fewer
+# rounds passes maxIter, which its result records.
 GBT_PROFILES: dict[str, dict] = {
-    "gbt_profile_a": {"maxIter": 20, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8,
+    "gbt_plain": {"maxIter": BOOSTED_ROUNDS, "maxDepth": BOOSTED_DEPTH, "stepSize": 0.1},
+    "gbt_profile_a": {"maxIter": BOOSTED_ROUNDS, "maxDepth": BOOSTED_DEPTH, "stepSize": 0.1, "subsamplingRate": 0.8,
                       "minInstancesPerNode": 20},
-    "gbt_profile_b": {"maxIter": 20, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.75,
+    "gbt_profile_b": {"maxIter": BOOSTED_ROUNDS, "maxDepth": BOOSTED_DEPTH, "stepSize": 0.1, "subsamplingRate": 0.75,
                       "minInstancesPerNode": 20, "featureSubsetStrategy": "0.7"},
-    "gbt_profile_c": {"maxIter": 20, "maxDepth": 6, "stepSize": 0.1},
+    "gbt_profile_c": {"maxIter": BOOSTED_ROUNDS, "maxDepth": BOOSTED_DEPTH, "stepSize": 0.1},
 }
 
 LINEAR = {"linear", "ridge", "lasso"}
@@ -348,31 +387,27 @@ def build_pipeline(model_name: str, params: dict | None = None, columns: list[st
     return Pipeline(stages=stages)
 
 
-def build_baseline_pipeline(model_name: str, params: dict | None = None,
-                            columns: list[str] | None = None) -> Pipeline:
-    """The EDA baseline encoder — one-hot of the categorical columns (unknown and
-    null -> zero vector) plus the numeric deterministic features passed through, no
-    group aggregates and no imputation: like the reference's row-complete filter,
-    rows with a null numeric feature are dropped (``handleInvalid='skip'``), in
-    training and in scoring alike."""
-    cols = set(columns or [])
-    present = (lambda xs: [c for c in xs if c in cols]) if columns else (lambda xs: list(xs))
-    cats = present(list(K.ORDINAL_COLS) + list(K.BINARY_COLS) + list(K.NOMINAL_LOW_COLS)
-                   + ["estu_mcpio_reside"])
-    numeric = list(K.DETERMINISTIC_NUMERIC_COLS)
+BASELINE_NUMERIC = ["capital_tecnologico"]
+
+
+def baseline_rows(df: DataFrame, target: str = K.TARGET) -> DataFrame:
+    """M11 input: the categorical columns present, one numeric feature and the target, with
+    incomplete rows dropped once, before any split: every model sees the same rows."""
+    cats = [c for c in K.ORDINAL_COLS + K.BINARY_COLS + K.NOMINAL_LOW_COLS if c in df.columns]
+    out = DeterministicFeatures().transform(df)
+    keep = ["estu_consecutivo", *cats, *BASELINE_NUMERIC, target]
+    # written first: the filter is over plain columns, not over every column's expression
+    return cut_lineage(out.select(*keep)).na.drop(subset=[*cats, *BASELINE_NUMERIC, target])
+
+
+def build_baseline_pipeline(model_name: str, params: dict | None = None, columns: list[str] | None = None) -> Pipeline:
+    """The EDA baseline encoder over ``baseline_rows``: one-hot of the categorical columns
+    (unknown -> zero vector), the numeric feature as it is."""
+    cats = [c for c in K.ORDINAL_COLS + K.BINARY_COLS + K.NOMINAL_LOW_COLS if columns is None or c in columns]
     prep = CategoricalPrep(imputeCols=[], indexCols=cats, nullPolicy="category")
-    oh = OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__oh" for c in cats],
-                       dropLast=True)
-    asm = VectorAssembler(inputCols=[f"{c}__oh" for c in cats] + numeric,
-                          outputCol="raw_features", handleInvalid="skip")
-    model = make_model(model_name, params)
-    stages = [DeterministicFeatures(), prep, oh, asm]
-    if model_name in LINEAR:
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features",
-                                     withMean=True, withStd=True))
-    else:
-        model.setFeaturesCol("raw_features")
-    return Pipeline(stages=stages + [model])
+    oh = OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__oh" for c in cats], dropLast=True)
+    asm = VectorAssembler(inputCols=[f"{c}__oh" for c in cats] + BASELINE_NUMERIC, outputCol="features")
+    return Pipeline(stages=[prep, oh, asm, make_model(model_name, params)])
 
 
 def fit_stages(stages: list, data: DataFrame) -> tuple[list, DataFrame, list[DataFrame]]:
@@ -409,6 +444,8 @@ def fit_train(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
         feats = cur.select(fc, F.col(lc).cast("double").alias(lc)) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         held.append(feats)
+        if getattr(learner, "ridge_alpha", None) is not None:
+            set_penalty(learner, *label_stats(feats, lc))
         return PipelineModel(fitted + [learner.fit(feats)])
     finally:
         for h in held:

@@ -11,6 +11,7 @@ flag while validation folds get plain lookups.
 from __future__ import annotations
 
 import math
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -57,11 +58,18 @@ SEARCH_SPACES: dict[str, list[tuple[str, float, float, str]]] = {
         ("bagging_temperature", 0.0, 1.0, "float"),
         ("random_strength", 1e-3, 10.0, "log"),
     ],
+    "randomForest": [
+        ("n_estimators", 100, 500, "int"),
+        ("max_depth", 6, 20, "int"),
+        ("min_samples_split", 5, 50, "int"),
+        ("min_samples_leaf", 2, 30, "int"),
+        ("max_features", 0.3, 1.0, "float"),
+    ],
     "ridge": [("alpha", 1e-3, 1e3, "log")],
     "lasso": [("alpha", 1.0, 500.0, "log")],
 }
 PROFILE_OF = {"lightGBM": "gbt_profile_a", "xgboost": "gbt_profile_b", "catboost": "gbt_profile_c",
-              "ridge": "ridge", "lasso": "lasso"}
+              "randomForest": "forest", "ridge": "ridge", "lasso": "lasso"}
 N_STARTUP_TRIALS = 10
 
 
@@ -79,36 +87,52 @@ def draw(space: str, trial: int, seed: int = K.SEED) -> dict[str, float]:
     return out
 
 
-def to_mllib(space: str, p: dict[str, float], n_train: int) -> dict:
-    """Parameter bridge to MLlib names; parameters without a counterpart are dropped."""
-    if space == "ridge":
-        return {"regParam": p["alpha"] / max(n_train, 1)}
-    if space == "lasso":
-        return {"regParam": p["alpha"]}
+def to_mllib(space: str, p: dict[str, float]) -> dict:
+    """Parameter bridge to MLlib names; parameters without a counterpart are dropped. The
+    penalty ``alpha`` goes through as it is: ridge scales it by the rows of each fit."""
+    if space in ("ridge", "lasso"):
+        return {"alpha": p["alpha"]}
+    rounds = "numTrees" if space == "randomForest" else "maxIter"
     out = {}
     if "n_estimators" in p or "iterations" in p:
-        out["maxIter"] = int(p.get("n_estimators", p.get("iterations")))
+        out[rounds] = int(p.get("n_estimators", p.get("iterations")))
     if "max_depth" in p or "depth" in p:
         out["maxDepth"] = int(p.get("max_depth", p.get("depth")))
     if "learning_rate" in p:
         out["stepSize"] = p["learning_rate"]
     if "subsample" in p:
         out["subsamplingRate"] = p["subsample"]
-    if "colsample_bytree" in p:
-        out["featureSubsetStrategy"] = f"{p['colsample_bytree']:.4f}"
-    if "min_child_samples" in p or "min_child_weight" in p:
-        out["minInstancesPerNode"] = int(p.get("min_child_samples", p.get("min_child_weight")))
+    if "colsample_bytree" in p or "max_features" in p:
+        out["featureSubsetStrategy"] = f"{p.get('colsample_bytree', p.get('max_features')):.4f}"
+    for least in ("min_child_samples", "min_child_weight", "min_samples_leaf"):
+        if least in p:
+            out["minInstancesPerNode"] = int(p[least])
     if "gamma" in p:
         out["minInfoGain"] = p["gamma"]
     return out
 
 
-def should_prune(trial: int, running_mean: float, earlier: list[float],
-                 n_startup: int = N_STARTUP_TRIALS) -> bool:
-    """Median rule — after ``n_startup`` trials, stop a trial whose running mean
-    fold RMSE at this step is worse than the median of earlier trials at the same step."""
-    return trial >= n_startup and len(earlier) >= n_startup and \
-        running_mean > float(np.median(earlier))
+def should_prune(running_mean: float, finished: list[float], n_startup: int = N_STARTUP_TRIALS) -> bool:
+    """Median rule: once ``n_startup`` trials are complete, stop a trial whose running mean
+    fold RMSE at this step is worse than the median of the completed trials at the same step."""
+    return len(finished) >= n_startup and running_mean > float(np.median(finished))
+
+
+class MedianPruner:
+    """Running means of completed trials by step; safe for concurrent trials. A trial is
+    compared only with trials that completed before it asks, never with itself or a pruned one."""
+
+    def __init__(self, n_startup: int = N_STARTUP_TRIALS):
+        self.n_startup, self._lock, self._done = n_startup, threading.Lock(), []
+
+    def prune(self, running: list[float]) -> bool:
+        with self._lock:
+            finished = [r[len(running) - 1] for r in self._done]
+        return should_prune(running[-1], finished, self.n_startup)
+
+    def complete(self, running: list[float]) -> None:
+        with self._lock:
+            self._done.append(list(running))
 
 
 def _fold_features(data: DataFrame, k: int, linear: bool, id_col: str):
@@ -120,8 +144,8 @@ def _fold_features(data: DataFrame, k: int, linear: bool, id_col: str):
         tr = data.where(F.col("fold") != f).drop("fold")
         va = data.where(F.col("fold") == f).drop("fold")
         full = ml.build_pipeline("ridge" if linear else "tree", None, tr.columns)
-        fitted, cur, held = ml.fit_stages(full.getStages()[:-1],
-                                          cut_lineage(tr.withColumn(G.TRAIN_FLAG, F.lit(True))))
+        # ``data`` is the one checkpoint: folds are filters of it, never copies
+        fitted, cur, held = ml.fit_stages(full.getStages()[:-1], tr.withColumn(G.TRAIN_FLAG, F.lit(True)))
         prefix = PipelineModel(fitted)
         feats = "features" if linear else "raw_features"
         trx = cut_lineage(cur.select(F.col(feats).alias("features"),
@@ -130,22 +154,21 @@ def _fold_features(data: DataFrame, k: int, linear: bool, id_col: str):
             id_col, F.col(feats).alias("features"), F.col(K.TARGET).cast("double").alias(K.TARGET)))
         for h in held:
             h.unpersist()
-        out.append((trx, vax))
+        out.append((trx, vax, ml.label_stats(trx)))
     return out
 
 
 def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3,
-                     parallelism: int = 2, id_col: str = "estu_consecutivo",
-                     max_iter_cap: int | None = None, seed: int = K.SEED) -> DataFrame:
-    """Seeded random search, k-fold CV RMSE per trial, median pruning after
-    ``N_STARTUP_TRIALS`` trials. Returns the trials table (model, trial, rmse,
-    state, params). ``max_iter_cap`` bounds boosting rounds for quick runs.
-
-    Fold preprocessing is fitted once per fold (see ``_fold_features``); each
-    trial x fold then fits only the learner on the materialised feature vectors."""
+                     parallelism: int = 2, id_col: str = "estu_consecutivo", seed: int = K.SEED,
+                     fixed: dict[str, float] | None = None, n_startup: int = N_STARTUP_TRIALS) -> DataFrame:
+    """Seeded random search, k-fold CV RMSE per trial, median pruning once ``n_startup``
+    trials of a space are complete. Returns the trials table (model, trial, rmse, state, params).
+
+    ``fixed`` sets parameters by hand instead of drawing them (e.g. a number of rounds); the
+    table records the parameters as fitted. Fold preprocessing is fitted once per fold (see
+    ``_fold_features``); each trial x fold then fits only the learner on the feature vectors."""
     spark = df.sparkSession
     data = cut_lineage(S.kfold_assign(df, id_col, k, seed))
-    n_train = data.count()
     cache: dict[bool, list] = {}
     rows = []
     for space in spaces:
@@ -153,24 +176,21 @@ def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3
         linear = profile in ml.LINEAR
         if linear not in cache:
             cache[linear] = _fold_features(data, k, linear, id_col)
-        folds = cache[linear]
-        running: dict[int, list[float]] = {}
+        folds, pruner = cache[linear], MedianPruner(n_startup)
 
-        def one_trial(t: int, space=space, profile=profile, folds=folds, running=running):
+        def one_trial(t: int, space=space, profile=profile, folds=folds, pruner=pruner):
             p = draw(space, t, seed)
-            mp = to_mllib(space, p, n_train)
-            if max_iter_cap and "maxIter" in mp:
-                mp["maxIter"] = min(mp["maxIter"], max_iter_cap)
-            scores = []
-            for f, (trx, vax) in enumerate(folds):
-                model = ml.make_model(profile, mp).fit(trx)
+            p.update({n: float(v) for n, v in (fixed or {}).items() if n in p})
+            scores, running = [], []
+            for f, (trx, vax, stats) in enumerate(folds):
+                model = ml.set_penalty(ml.make_model(profile, to_mllib(space, p)), *stats).fit(trx)
                 pred = model.transform(vax)
-                scores.append(pred.agg(F.sqrt(F.avg((F.col(K.TARGET) - F.col("prediction")) ** 2)))
-                              .first()[0])
-                running.setdefault(f, []).append(float(np.mean(scores)))
-                if should_prune(t, float(np.mean(scores)), running[f][:-1]):
-                    return (space, t, float(np.mean(scores)), "pruned", p)
-            return (space, t, float(np.mean(scores)), "complete", p)
+                scores.append(pred.agg(F.sqrt(F.avg((F.col(K.TARGET) - F.col("prediction")) ** 2))).first()[0])
+                running.append(float(np.mean(scores)))
+                if f + 1 < len(folds) and pruner.prune(running):
+                    return (space, t, running[-1], "pruned", p)
+            pruner.complete(running)
+            return (space, t, running[-1], "complete", p)
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             rows += list(pool.map(one_trial, range(n_trials)))
@@ -179,14 +199,12 @@ def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3
         "model string, trial int, rmse double, state string, params map<string,double>")
 
 
-def fit_best(trials: DataFrame, train: DataFrame, space: str, max_iter_cap: int | None = None):
+def fit_best(trials: DataFrame, train: DataFrame, space: str):
     """E5: refit the best complete trial of ``space`` on the full training frame."""
     best = trials.where((F.col("model") == space) & (F.col("state") == "complete")) \
         .orderBy("rmse", "trial").first()
-    mp = to_mllib(space, dict(best["params"]), train.count())
-    if max_iter_cap and "maxIter" in mp:
-        mp["maxIter"] = min(mp["maxIter"], max_iter_cap)
-    return ml.fit_train(ml.build_pipeline(PROFILE_OF[space], mp, train.columns), train)
+    params = to_mllib(space, dict(best["params"]))
+    return ml.fit_train(ml.build_pipeline(PROFILE_OF[space], params, train.columns), train)
 
 
 def group_kfold_cv(build_fn, df: DataFrame, group_col: str = "estu_mcpio_reside",
@@ -196,17 +214,17 @@ def group_kfold_cv(build_fn, df: DataFrame, group_col: str = "estu_mcpio_reside"
         raise ValueError(f"{group_col!r} not in frame")
     data = cut_lineage(S.group_kfold_assign(df, group_col, n_splits))
     spark = df.sparkSession
+    sizes = {r["fold"]: (r["n"], r["g"]) for r in data.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("group_key").alias("g")).collect()}
+    n_all, g_all = (sum(x[k] for x in sizes.values()) for k in (0, 1))
     out = []
     for f in range(n_splits):
         tr = data.where(F.col("fold") != f)
         va = data.where(F.col("fold") == f)
         model = ml.fit_train(build_fn(), tr.drop("fold", "group_key"))
         m = D.regression_report(ml.predict(model, va.drop("fold", "group_key"))).first()
-        sizes = data.groupBy(F.col("fold") == f).agg(
-            F.count(F.lit(1)).alias("n"), F.count_distinct("group_key").alias("g")).collect()
-        sz = {r[0]: (r["n"], r["g"]) for r in sizes}
-        out.append((f + 1, m["rmse"], m["mae"], m["r2"], sz.get(False, (0, 0))[0],
-                    sz.get(True, (0, 0))[0], sz.get(False, (0, 0))[1], sz.get(True, (0, 0))[1]))
+        n, g = sizes.get(f, (0, 0))
+        out.append((f + 1, m["rmse"], m["mae"], m["r2"], n_all - n, n, g_all - g, g))
     return spark.createDataFrame(out, "fold int, rmse double, mae double, r2 double, "
                                       "n_train bigint, n_val bigint, n_groups_train bigint, "
                                       "n_groups_val bigint")
@@ -233,13 +251,14 @@ def temporal_holdout_cv(build_fn, df: DataFrame, period_col: str = "periodo",
 
 
 def robustness_summary(holdout: DataFrame, folds: DataFrame, temporal: DataFrame) -> DataFrame:
-    """One row per validation scheme (union of same-shape rows)."""
+    """One row per validation scheme, each with the number of rows it scored."""
     fs = D.fold_summary(folds)
-    return (holdout.select(F.lit("holdout").alias("scheme"), "rmse", "mae", "r2")
+    n = folds.agg(F.sum("n_val")).scalar()
+    return (holdout.select(F.lit("holdout").alias("scheme"), "rmse", "mae", "r2", "n")
             .unionByName(fs.select(F.lit("group_kfold").alias("scheme"),
                                    F.col("rmse_mean").alias("rmse"), F.col("mae_mean").alias("mae"),
-                                   F.col("r2_mean").alias("r2")))
-            .unionByName(temporal.select(F.lit("temporal").alias("scheme"), "rmse", "mae", "r2")))
+                                   F.col("r2_mean").alias("r2"), n.alias("n")))
+            .unionByName(temporal.select(F.lit("temporal").alias("scheme"), "rmse", "mae", "r2", "n")))
 
 
 def group_kfold_cell_mean(df: DataFrame, group_col: str, cell: list[str],

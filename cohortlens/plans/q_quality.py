@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortlens import constants as K
 from cohortlens.operators import clean, profile
 from cohortlens.plans import roles as R
@@ -34,6 +36,18 @@ def duplicate_rank(spark, sf_dir):
     return clean.duplicate_rank(raw_records(spark, sf_dir), KEY, ORDER)
 
 
+@register("duplicate_rank_copies", sql=_raw(f"""
+    , twice AS (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE {KEY} % 3 = 0 UNION ALL SELECT * FROM raw WHERE {KEY} % 6 = 0)
+    SELECT {KEY}, duplicate_count, count(*) AS n FROM (
+      SELECT {KEY}, row_number() OVER (PARTITION BY {KEY} ORDER BY {ORDER_SQL}) AS duplicate_count
+      FROM twice WHERE {KEY} IS NOT NULL) GROUP BY 1, 2"""))
+def duplicate_rank_copies(spark, sf_dir):
+    """W1 where rows are repeated exactly: k copies are numbered once each."""
+    raw = raw_records(spark, sf_dir)
+    copies = raw.unionByName(raw.where(F.col(KEY) % 3 == 0)).unionByName(raw.where(F.col(KEY) % 6 == 0))
+    return clean.duplicate_rank(copies, KEY, ORDER).groupBy(KEY, "duplicate_count").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("duplicate_report", sql=_raw(f"""
     SELECT '*' AS subset, n_rows, n_distinct, n_rows - n_distinct AS n_duplicates,
       100.0 * (n_rows - n_distinct) / n_rows AS pct_duplicates

@@ -46,11 +46,14 @@ def all_string_schema(columns: list[str]) -> T.StructType:
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode: str = "overwrite") -> None:
-    """Parquet sink, optionally partitioned (e.g. by period for pruning)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """Parquet sink, optionally partitioned (e.g. by period for pruning).
+
+    Rows are rebalanced on the partition columns first: a folder gets a few files instead of
+    one from every task, and Spark splits a folder that holds too many rows."""
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def land_json(spark: SparkSession, json_dir: str, columns: list[str], out_path: str) -> DataFrame:
@@ -77,15 +80,21 @@ def write_json_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def file_fingerprints(spark: SparkSession, path_glob: str) -> DataFrame:
-    """sha256 of each file's bytes, computed on executors (one row per file)."""
-    return (spark.read.format("binaryFile").load(path_glob)
-            .select("path", "length", F.sha2(F.col("content"), 256).alias("sha256")))
-
-
-def row_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-insensitive fingerprint of a table's rows: one partial+final aggregate."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.bit_xor(h).alias("xor_hash"),
-                  F.sum(h.cast("decimal(38,0)")).alias("sum_hash"))
+def file_fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row per parquet file: rows, and order-free sum and xor of row hashes. Files are
+    read by splits, so a file of any size is many tasks and no cell holds a file."""
+    out = None
+    for path in paths:
+        df = spark.read.parquet(path)
+        name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+        one = row_fingerprint(df.withColumn("__file", name), by=["__file"], columns=df.columns)
+        out = one if out is None else out.unionByName(one)
+    return out.withColumnRenamed("__file", "name")
+
+
+def row_fingerprint(df: DataFrame, by: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Order-insensitive fingerprint of a table's rows: count, xor and sum of row hashes
+    (the sum still moves when a row is present twice)."""
+    h = F.xxhash64(*[F.col(c) for c in columns or df.columns])
+    return df.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(h).alias("xor_hash"),
+                                       F.sum(h.cast("decimal(38,0)")).alias("sum_hash"))
