@@ -84,11 +84,34 @@ def test_comparison_table_picks_best_trial(spark):
 def test_median_pruning_rule_and_draws():
     from cohortlens.operators import tune as T
     earlier = [40.0, 41.0, 39.0, 42.0, 38.0, 40.5, 39.5, 41.5, 38.5, 40.2]
-    assert not T.should_prune(3, 99.0, earlier[:3])            # still in start-up
-    assert T.should_prune(10, 41.0, earlier)                   # worse than median 40.1
-    assert not T.should_prune(10, 39.0, earlier)
+    assert not T.should_prune(99.0, earlier[:3])               # still in start-up
+    assert T.should_prune(41.0, earlier)                       # worse than median 40.1
+    assert not T.should_prune(39.0, earlier)
     a, b = T.draw("xgboost", 4), T.draw("xgboost", 4)
     assert a == b and 200 <= a["n_estimators"] <= 1000 and 0.01 <= a["learning_rate"] <= 0.3
-    mp = T.to_mllib("xgboost", a, 1000)
+    mp = T.to_mllib("xgboost", a)
     assert mp["maxIter"] == int(a["n_estimators"]) and "reg_alpha" not in mp
-    assert abs(T.to_mllib("ridge", {"alpha": 10.0}, 1000)["regParam"] - 0.01) < 1e-12
+    assert T.to_mllib("ridge", {"alpha": 10.0}) == {"alpha": 10.0} == T.to_mllib("lasso", {"alpha": 10.0})
+    forest = T.to_mllib("randomForest", T.draw("randomForest", 1))
+    assert set(forest) == {"numTrees", "maxDepth", "featureSubsetStrategy", "minInstancesPerNode"}
+
+
+def test_model_defaults_are_the_references():
+    from cohortlens.operators import ml
+    ridge, lasso, forest = (ml.make_model(n) for n in ("ridge", "lasso", "forest"))
+    assert ml.set_penalty(ridge, 1000, 30.0).getRegParam() == 50 * 30.0 / 1000
+    assert lasso.getRegParam() == 50 and lasso.getElasticNetParam() == 1
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (400, 12, "all")
+    assert all(ml.make_model(n).getMaxIter() == 400 for n in ml.GBT_PROFILES)
+
+
+def test_pruning_ignores_pruned_and_running_trials():
+    from cohortlens.operators import tune as T
+    p = T.MedianPruner(n_startup=10)
+    for k in range(10):
+        assert not p.prune([90.0])          # nothing is complete enough to compare with
+        p.complete([40.0 + k, 41.0 + k, 42.0 + k])
+    assert p.prune([60.0]) and p.prune([44.0, 46.0]) and not p.prune([44.0]) and not p.prune([90.0 - 50])
+    for _ in range(20):
+        p.prune([10.0])                     # asking changes nothing
+    assert p.prune([60.0])

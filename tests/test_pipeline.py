@@ -67,3 +67,27 @@ def test_categorical_prep_unknown_handling(spark):
     assert rows[0]["cal__oh"].numNonzeros() == 0             # unseen nominal -> zero vector
     assert rows[1]["flag"] == "Si" and rows[1]["flag__idx"] == 1.0   # null -> mode "Si"
     assert rows[1]["cal__oh"].toArray().tolist() == [0.0, 1.0]
+
+
+def test_search_prunes_without_touching_finished_trials(spark):
+    """Twelve concurrent trials: each is complete or pruned, with its parameters as fitted."""
+    from cohortlens.operators import tune as T
+    tr, _ = _parts(spark)
+    rows = T.random_search_cv(tr, ["lasso"], n_trials=6, k=2, parallelism=3, n_startup=2).collect()
+    assert sorted(r.trial for r in rows) == list(range(6))
+    assert all(r.state in ("complete", "pruned") and r.params == T.draw("lasso", r.trial) for r in rows)
+    assert sum(r.state == "complete" for r in rows) >= 2
+
+
+def test_nothing_stays_cached_after_a_fit(spark):
+    tr, _ = _parts(spark)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    ml.fit_train(ml.build_pipeline("tree", {"maxDepth": 3}, tr.columns), tr)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_a_column_without_values_is_an_error(spark):
+    import pytest
+    df = spark.createDataFrame([(None,), (None,)], "v double")
+    with pytest.raises(ValueError, match="median"):
+        ml.MedianImputer(["v"]).fit(df)
