@@ -96,7 +96,7 @@ def test_median_pruning_rule_and_draws():
     assert set(forest) == {"numTrees", "maxDepth", "featureSubsetStrategy", "minInstancesPerNode"}
 
 
-def test_model_defaults_are_the_references():
+def test_model_defaults_are_the_references(spark):
     from cohortlens.operators import ml
     ridge, lasso, forest = (ml.make_model(n) for n in ("ridge", "lasso", "forest"))
     assert ml.set_penalty(ridge, 1000, 30.0).getRegParam() == 50 * 30.0 / 1000
