@@ -12,9 +12,10 @@
        bucket. At similarity 0.85 a pair misses all bands with probability 1e-8.
     4. Stars: each bucket pairs its members with its least and its greatest member; pairs are
        checked on full shingle sets, and links give components.
-    5. Buckets that still span several components are compared block by block (never more
-       than ``BLOCK`` members a side in one task): members of different components whose
-       sizes and sketches allow the similarity become pairs, which are checked in full too.
+    5. Buckets that still span several components are compared block by block (about
+       ``BLOCK`` members a side in one task): members of different components whose sizes and
+       sketches allow the similarity are checked on full sets, each pair in the first band it
+       shares; only links that join components come out, at most one a member and block.
     6. Components of all links.
 
 No bucket is capped; a pair is passed over only if its members are already in one component,
@@ -40,7 +41,7 @@ WORDS = 5
 PERCENT = 85
 BANDS, ROWS = 32, 5
 COORDS = BANDS * ROWS
-BLOCK = 1024
+BLOCK = 512
 #: least agreeing coordinates of a pair at similarity 0.85, by over six standard deviations
 MIN_AGREE = int(COORDS * 0.85 - 6.2 * (COORDS * 0.85 * 0.15) ** 0.5)
 
@@ -72,6 +73,11 @@ def shingle_set(text: bytes) -> np.ndarray:
     return np.unique(_mix(x))
 
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
 def sketch(shingles: np.ndarray, coords: int = COORDS) -> np.ndarray:
     """The filled bins: round number above 32 bits of hash, least value of each bin."""
     out = np.full(coords, np.iinfo(np.uint64).max, np.uint64)
@@ -135,8 +141,7 @@ def _linked(batches):
             if last is None or ta != last:
                 last, kept = ta, shingle_set(unpack(ta))
             other = shingle_set(unpack(tb))
-            both = len(np.intersect1d(kept, other, assume_unique=True))
-            if 100 * both >= PERCENT * (len(kept) + len(other) - both):
+            if similar(kept, other):
                 out.append((a, b))
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
@@ -148,49 +153,72 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long")
 
 
+def _first_band(s: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The first band in which each row of s agrees with x (8 bits a coordinate)."""
+    return (s == x).reshape(len(s), BANDS, ROWS).all(axis=2).argmax(axis=1)
+
+
+def _block_links(members: list[tuple], i: int, j: int, band: int) -> list[tuple[int, int]]:
+    """Links that join components, among the members (side, id, component, size, sketch, text) of
+    one block pair. A pair is tested in the first band it shares, if sizes and sketches allow the
+    similarity, unless links found before have joined its components."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    side, ids, comp, n = (np.array([r[k] for r in members], np.int64) for k in range(4))
+    s = np.frombuffer(b"".join([r[4] for r in members]), np.uint8).reshape(len(members), COORDS)
+    sets: dict[int, np.ndarray] = {}
+
+    def shingles(k):
+        if k not in sets:
+            sets[k] = shingle_set(unpack(members[k][5]))
+        return sets[k]
+    at = np.flatnonzero(side == i)
+    others = at if i == j else np.flatnonzero(side == j)
+    out = []
+    for x in at.tolist():
+        y = others[(comp[others] != comp[x]) & (100 * np.minimum(n[others], n[x]) >= PERCENT * np.maximum(n[others], n[x]))]
+        if i == j:
+            y = y[ids[y] > ids[x]]
+        y = y[(s[y] == s[x]).sum(axis=1) >= MIN_AGREE]
+        for k in y[_first_band(s[y], s[x]) == band].tolist() if len(y) else []:
+            if comp[k] != comp[x] and similar(shingles(x), shingles(k)):
+                out.append((int(ids[x]), int(ids[k])))
+                comp[comp == comp[k]] = comp[x]
+    return out
+
+
 def _compare_blocks(batches):
-    """Members of one block pair, sorted together -> pairs that may be links."""
+    """Members of one block pair, sorted together -> links that join components."""
     group, rows = None, []
 
     def flush():
-        i, j = group[1], group[2]
-        side, ids, comp, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
-        s = np.frombuffer(b"".join([r[4] for r in rows]), np.uint8).reshape(len(rows), COORDS)
-        at = np.flatnonzero(side == i)
-        others = at if i == j else np.flatnonzero(side == j)
-        pairs = []
-        for x in at.tolist():
-            y = others[(comp[others] != comp[x]) & (100 * np.minimum(n[others], n[x]) >= PERCENT * np.maximum(n[others], n[x]))]
-            if i == j:
-                y = y[ids[y] > ids[x]]
-            y = y[(s[y] == s[x]).sum(axis=1) >= MIN_AGREE]
-            pairs += [(min(ids[x], z), max(ids[x], z)) for z in ids[y].tolist()]
-        pairs = list(dict.fromkeys(pairs))
-        return pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        links = _block_links(rows, *group[1:])
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     for batch in batches:
-        for key, i, j, side, doc, comp, n, sk in zip(*(batch.column(k).to_pylist() for k in range(8))):
-            if (key, i, j) != group:
+        for key, i, j, band, *member in zip(*(batch.column(k).to_pylist() for k in range(10))):
+            if (key, i, j, band) != group:
                 if rows:
                     yield flush()
-                group, rows = (key, i, j), []
-            rows.append((side, doc, comp, n, sk))
+                group, rows = (key, i, j, band), []
+            rows.append(member)
     if rows:
         yield flush()
 
 
-def _open_pairs(members: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs still to check: buckets that span components, compared in blocks."""
+def _open_links(members: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
+    """Links still missing: buckets that span components, compared in blocks of bounded size."""
     named = members.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
-        .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        .select("key", "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     open_keys = (named.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
                  .filter("lo < hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
     block = F.pmod(F.xxhash64("key", "doc_id"), F.col("blocks").cast("long")).cast("int")
-    rows = (named.join(open_keys, "key").join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    rows = (named.join(open_keys, "key").join(reps.select("doc_id", "n_shingles", "sketch", "text"), "doc_id")
             .withColumn("side", block)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
-                    "side", "doc_id", "component", "n_shingles", "sketch"))
+            .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "band",
+                    "side", "doc_id", "component", "n_shingles", "sketch", "text"))
     return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(_compare_blocks, "a long, b long").distinct())
 
@@ -201,7 +229,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     feats = via_table(rows.mapInArrow(_features, FEATURES), "near-features")
     classes = via_table(feats.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "near-classes")
     reps = feats.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
-    bands = reps.select("doc_id", F.explode("bands").alias("key"))
+    bands = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = bands.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
     members = via_table(bands.join(shared, "key"), "near-members")
     stars = (members.select("doc_id", F.explode(F.array("lo", "hi")).alias("hub")).filter("doc_id != hub")
@@ -209,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = reps.select("doc_id", "text")
     links = via_table(verified(stars, texts), "near-links")
     comp = components(links)
-    more = verified(_open_pairs(members, reps, comp).join(stars, ["a", "b"], "left_anti"), texts)
+    more = _open_links(members, reps, comp)
     comp = components(links.unionByName(more))
     named = (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
              .select("digest", F.coalesce("component", "rep").alias("component")))
