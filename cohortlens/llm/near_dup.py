@@ -153,25 +153,26 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long")
 
 
-def _first_band(s: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """The first band in which each row of s agrees with x (8 bits a coordinate)."""
-    return (s == x).reshape(len(s), BANDS, ROWS).all(axis=2).argmax(axis=1)
+def _first_band(bands: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The first band whose whole key, the bucket, each row of bands shares with x."""
+    return (bands == x).argmax(axis=1)
 
 
 def _block_links(members: list[tuple], i: int, j: int, band: int) -> list[tuple[int, int]]:
-    """Links that join components, among the members (side, id, component, size, sketch, text) of
-    one block pair. A pair is tested in the first band it shares, if sizes and sketches allow the
+    """Links that join components, among the members (side, id, component, size, bands, sketch, text)
+    of one block pair. A pair is tested in the first band it shares, if sizes and sketches allow the
     similarity, unless links found before have joined its components."""
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
     side, ids, comp, n = (np.array([r[k] for r in members], np.int64) for k in range(4))
-    s = np.frombuffer(b"".join([r[4] for r in members]), np.uint8).reshape(len(members), COORDS)
+    bands = np.array([r[4] for r in members], np.int64)
+    s = np.frombuffer(b"".join([r[5] for r in members]), np.uint8).reshape(len(members), COORDS)
     sets: dict[int, np.ndarray] = {}
 
     def shingles(k):
         if k not in sets:
-            sets[k] = shingle_set(unpack(members[k][5]))
+            sets[k] = shingle_set(unpack(members[k][6]))
         return sets[k]
     at = np.flatnonzero(side == i)
     others = at if i == j else np.flatnonzero(side == j)
@@ -181,7 +182,7 @@ def _block_links(members: list[tuple], i: int, j: int, band: int) -> list[tuple[
         if i == j:
             y = y[ids[y] > ids[x]]
         y = y[(s[y] == s[x]).sum(axis=1) >= MIN_AGREE]
-        for k in y[_first_band(s[y], s[x]) == band].tolist() if len(y) else []:
+        for k in y[_first_band(bands[y], bands[x]) == band].tolist() if len(y) else []:
             if comp[k] != comp[x] and similar(shingles(x), shingles(k)):
                 out.append((int(ids[x]), int(ids[k])))
                 comp[comp == comp[k]] = comp[x]
@@ -197,7 +198,9 @@ def _compare_blocks(batches):
         return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     for batch in batches:
-        for key, i, j, band, *member in zip(*(batch.column(k).to_pylist() for k in range(10))):
+        columns = [batch.column(k).to_pylist() if k != 8 else batch.column(k).flatten().to_numpy().reshape(-1, BANDS)
+                   for k in range(11)]
+        for key, i, j, band, *member in zip(*columns):
             if (key, i, j, band) != group:
                 if rows:
                     yield flush()
@@ -214,11 +217,11 @@ def _open_links(members: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFra
     open_keys = (named.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
                  .filter("lo < hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
     block = F.pmod(F.xxhash64("key", "doc_id"), F.col("blocks").cast("long")).cast("int")
-    rows = (named.join(open_keys, "key").join(reps.select("doc_id", "n_shingles", "sketch", "text"), "doc_id")
+    rows = (named.join(open_keys, "key").join(reps.select("doc_id", "n_shingles", "bands", "sketch", "text"), "doc_id")
             .withColumn("side", block)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "band",
-                    "side", "doc_id", "component", "n_shingles", "sketch", "text"))
+                    "side", "doc_id", "component", "n_shingles", "bands", "sketch", "text"))
     return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(_compare_blocks, "a long, b long").distinct())
 

@@ -98,6 +98,21 @@ def test_blocks_compare_every_pair_once(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == near_brute(rows)
 
 
+def test_pairs_meet_although_sketch_bytes_agree_in_an_earlier_band():
+    """Band 0 agrees in the 8 bits of a sketch byte but not in its key: the pair's first bucket is that of band 1."""
+    import zstandard
+
+    members = []
+    for i, text in enumerate((words(200, 4), words(200, 4) + " more")):
+        k = near_dup.sketch(near_dup.shingle_set(words(200, 4).encode()))
+        k[0] += np.uint64(i << 8)
+        members.append((0, i, i, 196 + i, near_dup.band_keys(k), k.astype(np.uint8).tobytes(),
+                        zstandard.ZstdCompressor().compress(text.encode())))
+    assert members[0][5] == members[1][5] and (members[0][4] == members[1][4]).tolist() == [False] + [True] * 31
+    assert near_dup._block_links(members, 0, 0, 1) == [(0, 1)]
+    assert near_dup._block_links(members, 0, 0, 2) == []  # tested once
+
+
 def test_near_duplicates_empty_table(empty_docs):
     assert near_dup.near_duplicates(empty_docs).count() == 0
 
