@@ -9,7 +9,7 @@
     2. Classes: documents with one shingle set are linked through the least id of the class;
        only this representative goes on, so copies never meet each other in pairs.
     3. Bands of ``ROWS`` coordinates: representatives that agree in a whole band share a
-       bucket. At similarity 0.85 a pair misses all bands with probability 1e-8.
+       bucket. A pair misses all bands with probability 1e-8 at similarity 0.85, 3e-6 at 0.8.
     4. Stars: each bucket pairs its members with its least and its greatest member; pairs are
        checked on full shingle sets, and links give components.
     5. Buckets that still span several components are compared block by block (about
@@ -21,6 +21,8 @@
 No bucket is capped; a pair is passed over only if its members are already in one component,
 their sizes rule the similarity out, or their sketches differ by over six standard deviations.
 
+The least similarity of a link is ``percent``, 85 unless the caller gives another.
+
 Defined results: null, empty and blank texts have an empty set, no links and stay; fewer
 than five words make one shingle of the whole sequence; equal sets are linked; rows that
 repeat an id are one document, linked through any of its texts; a null id is never linked
@@ -42,8 +44,6 @@ PERCENT = 85
 BANDS, ROWS = 32, 5
 COORDS = BANDS * ROWS
 BLOCK = 512
-#: least agreeing coordinates of a pair at similarity 0.85, by over six standard deviations
-MIN_AGREE = int(COORDS * 0.85 - 6.2 * (COORDS * 0.85 * 0.15) ** 0.5)
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -73,9 +73,15 @@ def shingle_set(text: bytes) -> np.ndarray:
     return np.unique(_mix(x))
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
+def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def min_agree(percent: int) -> int:
+    """Least agreeing coordinates of a pair at the similarity, by over six standard deviations."""
+    p = percent / 100
+    return int(COORDS * p - 6.2 * (COORDS * p * (1 - p)) ** 0.5)
 
 
 def sketch(shingles: np.ndarray, coords: int = COORDS) -> np.ndarray:
@@ -129,28 +135,30 @@ def _features(batches):
                                          names=["doc_id", "n_shingles", "digest", "bands", "sketch", "text"])
 
 
-def _linked(batches):
+def _linked(percent: int):
     """(a, b, text_a, text_b) -> the pairs whose full sets reach the similarity."""
-    import zstandard
-
-    unpack = zstandard.ZstdDecompressor().decompress
-    last, kept = None, None
-    for batch in batches:
-        out = []
-        for a, b, ta, tb in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if last is None or ta != last:
-                last, kept = ta, shingle_set(unpack(ta))
-            other = shingle_set(unpack(tb))
-            if similar(kept, other):
-                out.append((a, b))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def run(batches):
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        last, kept = None, None
+        for batch in batches:
+            out = []
+            for a, b, ta, tb in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if last is None or ta != last:
+                    last, kept = ta, shingle_set(unpack(ta))
+                other = shingle_set(unpack(tb))
+                if similar(kept, other, percent):
+                    out.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    return run
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """pairs (a, b) -> those that are links; texts (doc_id, text) holds compressed whole texts."""
     left = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = left.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked(percent), "a long, b long")
 
 
 def _first_band(bands: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -158,13 +166,14 @@ def _first_band(bands: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (bands == x).argmax(axis=1)
 
 
-def _block_links(members: list[tuple], i: int, j: int, band: int) -> list[tuple[int, int]]:
+def _block_links(members: list[tuple], i: int, j: int, band: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that join components, among the members (side, id, component, size, bands, sketch, text)
     of one block pair. A pair is tested in the first band it shares, if sizes and sketches allow the
     similarity, unless links found before have joined its components."""
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
+    least = min_agree(percent)
     side, ids, comp, n = (np.array([r[k] for r in members], np.int64) for k in range(4))
     bands = np.array([r[4] for r in members], np.int64)
     s = np.frombuffer(b"".join([r[5] for r in members]), np.uint8).reshape(len(members), COORDS)
@@ -178,39 +187,41 @@ def _block_links(members: list[tuple], i: int, j: int, band: int) -> list[tuple[
     others = at if i == j else np.flatnonzero(side == j)
     out = []
     for x in at.tolist():
-        y = others[(comp[others] != comp[x]) & (100 * np.minimum(n[others], n[x]) >= PERCENT * np.maximum(n[others], n[x]))]
+        y = others[(comp[others] != comp[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
         if i == j:
             y = y[ids[y] > ids[x]]
-        y = y[(s[y] == s[x]).sum(axis=1) >= MIN_AGREE]
+        y = y[(s[y] == s[x]).sum(axis=1) >= least]
         for k in y[_first_band(bands[y], bands[x]) == band].tolist() if len(y) else []:
-            if comp[k] != comp[x] and similar(shingles(x), shingles(k)):
+            if comp[k] != comp[x] and similar(shingles(x), shingles(k), percent):
                 out.append((int(ids[x]), int(ids[k])))
                 comp[comp == comp[k]] = comp[x]
     return out
 
 
-def _compare_blocks(batches):
+def _compare_blocks(percent: int):
     """Members of one block pair, sorted together -> links that join components."""
-    group, rows = None, []
-
-    def flush():
-        links = _block_links(rows, *group[1:])
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    for batch in batches:
-        columns = [batch.column(k).to_pylist() if k != 8 else batch.column(k).flatten().to_numpy().reshape(-1, BANDS)
-                   for k in range(11)]
-        for key, i, j, band, *member in zip(*columns):
-            if (key, i, j, band) != group:
-                if rows:
-                    yield flush()
-                group, rows = (key, i, j, band), []
-            rows.append(member)
-    if rows:
-        yield flush()
-
-
-def _open_links(members: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
+    def run(batches):
+        group, rows = None, []
+
+        def flush():
+            links = _block_links(rows, *group[1:], percent)
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() if k != 8 else batch.column(k).flatten().to_numpy().reshape(-1, BANDS)
+                       for k in range(11)]
+            for key, i, j, band, *member in zip(*columns):
+                if (key, i, j, band) != group:
+                    if rows:
+                        yield flush()
+                    group, rows = (key, i, j, band), []
+                rows.append(member)
+        if rows:
+            yield flush()
+    return run
+
+
+def _open_links(members: DataFrame, reps: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     """Links still missing: buckets that span components, compared in blocks of bounded size."""
     named = members.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
         .select("key", "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
@@ -223,10 +234,10 @@ def _open_links(members: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFra
             .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "band",
                     "side", "doc_id", "component", "n_shingles", "bands", "sketch", "text"))
     return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(_compare_blocks, "a long, b long").distinct())
+            .mapInArrow(_compare_blocks(percent), "a long, b long").distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     feats = via_table(rows.mapInArrow(_features, FEATURES), "near-features")
@@ -238,9 +249,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = (members.select("doc_id", F.explode(F.array("lo", "hi")).alias("hub")).filter("doc_id != hub")
              .select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct())
     texts = reps.select("doc_id", "text")
-    links = via_table(verified(stars, texts), "near-links")
+    links = via_table(verified(stars, texts, percent), "near-links")
     comp = components(links)
-    more = _open_links(members, reps, comp)
+    more = _open_links(members, reps, comp, percent)
     comp = components(links.unionByName(more))
     named = (classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
              .select("digest", F.coalesce("component", "rep").alias("component")))

@@ -45,7 +45,7 @@ def op8(spark, sf_dir):
 
 @query("op9_fast_similarity_sketch")
 def op9(spark, sf_dir):
-    return near_dup.near_duplicates(load(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(load(spark, sf_dir, "documents"), percent=85)
 
 
 OP10_SQL = r"""

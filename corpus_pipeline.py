@@ -11,6 +11,7 @@ from __future__ import annotations
 from cohortlens.llm import exact_dedup, host_rules, near_dup, packing, toxicity
 from cohortlens.llm.common import keep_rows, load, via_table
 
+NEAR_PERCENT = 80  # least shingle similarity of near copies in the stage
 ORACLE_SQL = None  # the classifier is trained; the stages are tested against brute force
 
 
@@ -33,7 +34,7 @@ def drop_exact_copies(spark, docs, sf_dir):
 
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each near-duplicate component: the one with the least doc_id."""
-    return keep_rows(docs, near_dup.near_duplicates(docs).filter("kept"))
+    return keep_rows(docs, near_dup.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept"))
 
 
 def pack_sequences(spark, docs, sf_dir):

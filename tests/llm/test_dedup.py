@@ -98,6 +98,37 @@ def test_blocks_compare_every_pair_once(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == near_brute(rows)
 
 
+def near_brute_at(percent, sets):
+    """Least id of each document's component, by all pairs."""
+    comp = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((comp[a], comp[b]))
+                comp = {i: low if c == high else c for i, c in comp.items()}
+    return comp
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_at_a_given_similarity(spark, percent):
+    import corpus_pipeline
+
+    base, rows = words(204, 4).split(), []
+    for g, changed in enumerate((0, 2, 3, 4, 5, 6)):  # similarities 1, 0.90, 0.86, 0.82, 0.78 and 0.74 within a group
+        for i in (0, 1):
+            own = [f"g{g}{w}" if k % 30 != 7 or k // 30 >= i * changed else f"o{g}x{k}" for k, w in enumerate(base)]
+            rows.append((10 * g + i, " ".join(own), "en", "s", 0))
+    near = {i: {tuple(w[k:k + 5]) for k in range(200)} for i, w in ((r[0], r[1].split()) for r in rows)}
+    comp = near_brute_at(percent, near)
+    assert len(set(comp.values())) == {80: 8, 85: 9}[percent]
+    df = spark.createDataFrame(rows, DOCS)
+    got = near_dup.near_duplicates(df, percent=percent).collect()
+    assert {r.doc_id: r.component_id for r in got} == comp
+    if percent == 80:  # the pipeline's stage
+        left = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()}
+        assert left == set(comp.values())
+
+
 def test_pairs_meet_although_sketch_bytes_agree_in_an_earlier_band():
     """Band 0 agrees in the 8 bits of a sketch byte but not in its key: the pair's first bucket is that of band 1."""
     import zstandard
