@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.session import scratch_path
@@ -48,7 +49,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of docs whose id (null included) is among the kept ids."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["_kept_id"]), "left_semi")
+def text_digest(text_col: str = "text") -> Column:
+    """SHA-256 of the whole text; null counts as empty."""
+    return F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", **also: Column) -> DataFrame:
+    """Rows of docs whose id (null included) is among the kept ids. ``also`` names further columns
+    of kept, each with its expression over docs: decisions on rows rather than on ids. The join
+    ignores repeated keys; a distinct here would run in the exchange of kept, by a hot host."""
+    keys = {"doc_id": F.col(id_col), **also}
+    ids = kept.select(*(F.col(c).alias(f"_kept_{c}") for c in keys))
+    same = [e.eqNullSafe(F.col(f"_kept_{c}")) for c, e in keys.items()]
+    return docs.join(ids, functools.reduce(Column.__and__, same), "left_semi")

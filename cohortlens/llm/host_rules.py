@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import bounded_batches, via_table
+from cohortlens.llm.common import bounded_batches, keep_rows, text_digest, via_table
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -69,16 +69,21 @@ def _measures(batches):
     for batch in batches:
         rows = [measure(t or b"") for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0)] + [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)] + [batch.column(2)],
-            names=["doc_id", *MEASURES, "host"])
+            [batch.column(0)] + [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
+            + [batch.column(k) for k in range(2, batch.num_columns)],
+            names=["doc_id", *MEASURES, *batch.schema.names[2:]])
 
 
-def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """doc_id, the five measures, host, base_failed and rule_failed (base or a further rule)."""
+def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                      digest: bool = False) -> DataFrame:
+    """doc_id, the five measures, host, base_failed and rule_failed (base or a further rule); with
+    ``digest`` also text_sha256."""
     rows = bounded_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
-        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"))
-    out = rows.mapInArrow(_measures, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES) + ", host string")
+        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
+        *([text_digest(text_col).alias("text_sha256")] if digest else []))
+    out = rows.mapInArrow(_measures, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES) + ", host string"
+                          + (", text_sha256 string" if digest else ""))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.withColumns({"base_failed": base,
                             "rule_failed": base | (10 * F.col("n_symbols") > F.col("word_chars"))})
@@ -98,13 +103,27 @@ def host_rates(measures: DataFrame) -> DataFrame:
         "host", "n", "x", ((F.col("x") + F.col("p.m") * F.col("p.k")) / (F.col("n") + F.col("p.k"))).alias("rate"))
 
 
+def _verdicts(table: DataFrame, max_host_rate: float) -> DataFrame:
+    """The measures with host_rejected: true or null."""
+    bad = host_rates(table).filter(F.col("rate") > max_host_rate).select("host", F.lit(True).alias("host_rejected"))
+    # AQE broadcasts the verdicts when they are small and splits a hot host when they are not
+    return table.join(bad, "host", "left")
+
+
 def apply_host_rules(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE, id_col: str = "doc_id",
                      text_col: str = "text", host_col: str = "source") -> DataFrame:
     """One row per document: the measures, base_failed, and kept (base and host verdict)."""
-    table = via_table(document_measures(docs, id_col, text_col, host_col), "host-measures")
-    bad = host_rates(table).filter(F.col("rate") > max_host_rate).select("host", F.lit(True).alias("host_rejected"))
-    # AQE broadcasts the verdicts when they are small and splits a hot host when they are not
-    return (table.join(bad, "host", "left")
-            .select("doc_id", *MEASURES, "base_failed",
-                    (~F.col("base_failed") & F.col("host_rejected").isNull()).alias("kept"),
-                    F.col("host_rejected").isNotNull().alias("host_rejected")))
+    table = _verdicts(via_table(document_measures(docs, id_col, text_col, host_col), "host-measures"), max_host_rate)
+    rejected = F.col("host_rejected").isNotNull()
+    return table.select("doc_id", *MEASURES, "base_failed", (~F.col("base_failed") & ~rejected).alias("kept"),
+                        rejected.alias("host_rejected"))
+
+
+def keep_good(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE, id_col: str = "doc_id",
+              text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """The rows, all columns as they are, that pass the base rules and whose host is not rejected.
+    Decisions hold for id, text and host, so rows that repeat an id, null included, pass each by itself."""
+    table = via_table(document_measures(docs, id_col, text_col, host_col, digest=True), "host-measures")
+    good = _verdicts(table, max_host_rate).filter(~F.col("base_failed") & F.col("host_rejected").isNull())
+    return keep_rows(docs, good, id_col, text_sha256=text_digest(text_col),
+                     host=F.coalesce(F.col(host_col).cast("string"), F.lit("")))

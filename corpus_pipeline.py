@@ -9,7 +9,7 @@ costs at most one stage's tasks.
 from __future__ import annotations
 
 from cohortlens.llm import exact_dedup, host_rules, near_dup, packing, toxicity
-from cohortlens.llm.common import keep_rows, load, via_table
+from cohortlens.llm.common import keep_rows, load, text_digest, via_table
 
 NEAR_PERCENT = 80  # least shingle similarity of near copies in the stage
 ORACLE_SQL = None  # the classifier is trained; the stages are tested against brute force
@@ -23,17 +23,18 @@ def drop_toxic(spark, docs, sf_dir):
 
 def drop_low_quality(spark, docs, sf_dir):
     """Documents that pass the base rules and whose host is not rejected."""
-    return keep_rows(docs, host_rules.apply_host_rules(docs).filter("kept"))
+    return host_rules.keep_good(docs)
 
 
 def drop_exact_copies(spark, docs, sf_dir):
     """One row of each distinct text: the one with the largest doc_id."""
-    kept = keep_rows(docs, exact_dedup.exact_dedup(docs).filter("kept"))
-    return kept.dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    kept = keep_rows(docs, exact_dedup.exact_dedup(docs).filter("kept"), text_sha256=text_digest())
+    return kept.withColumn("_digest", text_digest()).dropDuplicates(["doc_id", "_digest"]).select(docs.columns)
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document of each near-duplicate component: the one with the least doc_id."""
+    """One document of each near-duplicate component: the one with the least doc_id. The operator
+    decides on ids, so rows go by id; null ids stay."""
     return keep_rows(docs, near_dup.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept"))
 
 

@@ -12,7 +12,7 @@ from cohortlens.llm import toxicity, warc_revisits
 from cohortlens.llm.common import keep_rows
 from cohortlens.sources.tables import DRIVER_TABLES
 from tests.conftest import SF001
-from tests.llm.conftest import docs_rows
+from tests.llm.conftest import DOCS, docs_rows, words
 from tests.llm.test_dedup import near_brute
 from tests.llm.test_text import measures_brute
 from tests.test_entry import _norm
@@ -110,6 +110,27 @@ def test_keep_rows_keeps_null_ids(awkward):
     assert keep_rows(awkward, awkward.filter("doc_id is null or doc_id = 1")).count() == 2
 
 
+def test_stages_decide_on_rows_that_repeat_an_id(spark):
+    stages = dict(corpus_pipeline.STAGES)
+    good, other, third = (words(80, s) for s in (21, 22, 23))
+    rows = [(None, good, "en", "h", 0), (None, "short", "en", "h", 1), (4, other, "en", "h", 2), (4, "a b c\n" * 200, "en", "h", 3)]
+    kept = stages["quality_rules"](spark, spark.createDataFrame(rows, DOCS), SF001)
+    assert sorted(r.n_chars for r in kept.collect()) == [0, 2]
+    rows = [(None, good, "en", "h", 0), (None, other, "en", "h", 1), (7, good, "en", "h", 2),  # other alone has a null id only
+            (8, third, "en", "h", 3), (8, words(80, 24), "en", "h", 4), (9, third, "en", "h", 5),
+            (None, good, "en", "h", 6), (3, None, "en", "h", 7), (3, "", "en", "h", 7)]
+    once = stages["exact_dedup"](spark, spark.createDataFrame(rows, DOCS), SF001)
+    assert sorted(r.n_chars for r in once.collect()) == [1, 2, 4, 5, 7]
+
+
+def test_a_rejected_host_takes_only_its_own_rows(spark):
+    good = words(80)
+    rows = [(i, "short", "en", "bad", 0) for i in range(100)] + [(1000 + i, words(80, i), "en", f"h{i % 20}", 1) for i in range(400)]
+    rows += [(None, good, "en", "bad", 0), (None, good, "en", "h1", 1), (None, good, "en", None, 1)]
+    kept = corpus_pipeline.drop_low_quality(spark, spark.createDataFrame(rows, DOCS), SF001)
+    assert sorted(r.n_chars for r in kept.collect()) == [1] * 402
+
+
 def test_toxic_documents_go_and_clean_ones_stay(spark):
     labels = spark.read.parquet(f"{SF001}/labels.parquet")
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
