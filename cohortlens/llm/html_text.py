@@ -1,7 +1,7 @@
 """Operator 4: main text of web pages by composite text density.
 
 A page is parsed into a small DOM (unclosed paragraphs, list items and inline marks are
-closed as browsers do). Elements that never hold the article are left out first: scripts,
+closed as browsers do, inside left-out elements too). Elements that never hold the article are left out first: scripts,
 styles, navigation, page headers and footers, sidebars, forms, hidden parts, and elements
 whose class, id or role names an advert, menu, notice, comment section or the like. Every
 remaining element gets its link-adjusted density of characters per tag,
@@ -44,6 +44,9 @@ CLOSES = {"p": frozenset("""address article aside blockquote details div dl fiel
           "tr": frozenset(["tr", "tbody", "thead", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody"]),
           "th": frozenset(["td", "th", "tr", "tbody"]), "option": frozenset(["option", "optgroup"])}
 SCOPE = frozenset("body html table ul ol dl div section article main td th blockquote".split())
+#: inside a noise subtree no opening tag closes elements beyond these
+WALLS = SCOPE | DROPPED | {"header"}
+HEAD = frozenset("base link meta title noscript style script template head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NOISE = re.compile(r"""^(?:
     (?:site|page|global|top|main|blog)?[-_]?(?:header|footer|nav|navbar|navigation|menu|masthead)|
@@ -84,15 +87,31 @@ class _Dom(HTMLParser):
         self.skip: list[str] = []  # open tags inside a noise subtree
         self.articles = 0
 
-    def _open(self, tag):
+    def _open(self, tag) -> bool:
+        """Closes what the opening tag ends; true if it ends an element."""
         node = self.at
         while node is not None and node.parent is not None:
             if node.tag in CLOSES and tag in CLOSES[node.tag]:
                 self._leave(node.parent)
-                return
+                return True
             if node.tag in SCOPE:
-                return
+                return False
             node = node.parent
+        return False
+
+    def _ends_skip(self, tag) -> bool:
+        """Closes what the opening tag ends inside the noise subtree; true if the subtree ends."""
+        for k in range(len(self.skip) - 1, -1, -1):
+            at = self.skip[k]
+            if (at in CLOSES and tag in CLOSES[at]) or (at == "head" and k + 1 == len(self.skip) and tag not in HEAD):
+                del self.skip[k:]
+                return not self.skip
+            if at in WALLS:
+                return False
+        if self._open(tag):  # an open paragraph or item around the noise
+            self.skip.clear()
+            return True
+        return False
 
     def _leave(self, to):
         while self.at is not to:
@@ -100,7 +119,7 @@ class _Dom(HTMLParser):
             self.at = self.at.parent
 
     def handle_starttag(self, tag, attrs):
-        if self.skip:
+        if self.skip and not self._ends_skip(tag):
             if tag not in VOID:
                 self.skip.append(tag)
             return
@@ -129,7 +148,8 @@ class _Dom(HTMLParser):
             if tag in self.skip:
                 while self.skip.pop() != tag:
                     pass
-            elif tag in SCOPE or tag == "body":  # the noise element was never closed
+            elif tag in SCOPE or tag == "body" or (tag not in INLINE and CLOSES.keys() >= set(self.skip)):
+                # the noise element was never closed
                 if self._opened(tag):
                     self.skip.clear()
                     self.handle_endtag(tag)
@@ -147,6 +167,8 @@ class _Dom(HTMLParser):
         return None
 
     def handle_data(self, data):
+        if self.skip == ["head"] and data.strip():  # text ends an open head
+            self.skip.clear()
         if not self.skip:
             self.at.children.append(data)
 

@@ -48,6 +48,20 @@ def test_article_in_several_sections_is_whole():
     assert html_text.extract(page).count("words of the article") == 30
 
 
+@pytest.mark.parametrize("html,want", [
+    ('<article><p class="ad">Buy<p>text</p><p>more</p></article>', "text more"),
+    ('<article><p class="ad">Buy <b>now<p>text<div>more</div></article>', "text more"),
+    ('<article><ul><li class="ad">Buy<li>one<li>two</ul><p>text</article>', "one two text"),
+    ('<article><p>text <span class="promo">Buy<p>more</article>', "text more"),
+    ('<article><figure><p class="ad">Buy</figure><p>text</article>', "text"),
+    ('<article><aside><p>a<p>b<ul><li>c<li>d</ul></aside><p>text</article>', "text"),
+    ('<article><div class="ad"><p>a<p>b</div><p>text</article>', "text"),
+    ('<article><table><tr><td class="ad">Buy<td>one<tr><td>two</table></article>', "one two"),
+    ('<html><head><title>T</title><meta name="a"><body><article><p>text</article></body></html>', "text")])
+def test_unclosed_noise_ends_where_browsers_end_it(html, want):
+    assert html_text.extract(html) == want
+
+
 def test_deep_and_long_pages():
     assert html_text.extract("<div>" * 5000 + "deep") == "deep"
     assert len(html_text.extract("<p>" + "word " * 200_000)) == 5 * 200_000 - 1
