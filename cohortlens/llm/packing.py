@@ -1,17 +1,17 @@
 """Operator 8: best-fit packing of documents into fixed-length token sequences.
 
-Bulk-synchronous best-fit over sorted sizes:
+Best-fit decreasing over the histogram of lengths, matched in a serial loop on the driver:
     1. Pieces: every document is encoded, closed with an end id and cut into pieces of at
        most ``capacity`` tokens; the narrow piece table is written to the shared folder.
     2. Range sort: pieces are range-partitioned by (length, id, piece). A piece's rank among
        those of its length is its place in its partition plus the counts before it, so no
        task or window holds a whole length, however common.
-    3. Supersteps, longest first: pieces of one length are interchangeable, as are gaps of
-       one size, so the matching works on (length, count) and (gap, bins) runs: at most
-       ``capacity`` of each, whatever the input. Every superstep sweeps the gaps upwards from
-       the length (its successors), gives the next pieces in rank order to the gaps in order,
-       updates the gaps, and repeats until the length has no piece left; what finds no gap
-       opens new sequences.
+    3. Matching, on the driver, longest first: pieces of one length are interchangeable, as
+       are gaps of one size, so the loop works on (length, count) and (gap, sequences) runs.
+       There are at most ``capacity`` lengths and gap sizes, and a length adds at most two
+       runs, whatever the input. Each step takes a run of the least gap that holds the length
+       (its successor), gives it the next pieces in rank order and puts back what is left;
+       what finds no gap opens new sequences.
     4. The runs come back to the pieces by (length, rank), giving sequence and offset.
 
 The outcome equals serial best-fit decreasing. Only counts per (partition, length) and the
