@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import bpe, chat, exact_dedup, host_rules, html_text, near_dup, packing, toxicity, training_order, warc_revisits
+from cohortlens.llm import align, bpe, byte_bpe, chat, exact_dedup, host_rules, html_text, kmeans_codes, near_dup, packing, toxicity, training_order, warc_revisits
 from cohortlens.llm.common import load
 
 QUERIES = {}
@@ -154,3 +154,42 @@ FROM st
 @query("op1_revisit_resolution", OP1_SQL)
 def op1(spark, sf_dir):
     return warc_revisits.revisit_table(load(spark, sf_dir, "pages"))
+
+
+@query("op11_pointer_jumping_alignment")
+def op11(spark, sf_dir):
+    return align.align_corpus(load(spark, sf_dir, "documents"))
+
+
+@query("op12_monoid_byte_bpe")
+def op12(spark, sf_dir):
+    return byte_bpe.encode_decode(load(spark, sf_dir, "documents"))
+
+
+def _op13_round(k: int) -> str:
+    """Assignment under codebook k, and codebook k + 1."""
+    apart = " + ".join(f"(a.x{d} - c.x{d}) * (a.x{d} - c.x{d})" for d in range(4))
+    mean = ", ".join(f"coalesce(CAST(floor(m.s{d} / m.n) AS BIGINT), c.x{d}) AS x{d}" for d in range(4))
+    return f"""
+a{k} AS (SELECT a.r, a.p, min(({apart}) * 64 + c.e) AS m FROM part a JOIN c{k} c ON a.p = c.p GROUP BY a.r, a.p),
+m{k} AS (SELECT p, e, count(*) AS n, {", ".join(f"sum(x{d}) AS s{d}" for d in range(4))}
+         FROM (SELECT a.p, a.m % 64 AS e, x0, x1, x2, x3 FROM a{k} a JOIN part USING (r, p)) GROUP BY p, e),
+c{k + 1} AS (SELECT c.p, c.e, {mean} FROM c{k} c LEFT JOIN m{k} m ON c.p = m.p AND c.e = m.e),"""
+
+
+OP13_SQL = f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+n AS (SELECT *, row_number() OVER (ORDER BY vec_id, vec) AS r FROM v),
+part AS (SELECT r, p, {", ".join(f"vec[4 * p + {d + 1}] AS x{d}" for d in range(4))} FROM (SELECT r, vec, unnest(range(16)) AS p FROM n)),
+c0 AS (SELECT p, r - 1 AS e, x0, x1, x2, x3 FROM part WHERE r <= 64),{_op13_round(0)}{_op13_round(1)}{_op13_round(2).split("m2 AS")[0]}
+code AS (SELECT r, string_agg(printf('%02x', m % 64), '' ORDER BY p) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM a2 GROUP BY r),
+book AS (SELECT sha256(string_agg(concat(x0, ',', x1, ',', x2, ',', x3), ',' ORDER BY p, e)) AS s FROM c2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT s FROM book) AS codebooks_sha256
+FROM n JOIN code USING (r)
+"""
+
+
+@query("op13_member_resident_lloyd", OP13_SQL)
+def op13(spark, sf_dir):
+    return kmeans_codes.compress(load(spark, sf_dir, "embeddings"))
