@@ -19,7 +19,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", app_name="cohortlens-tests",
-                    conf={"spark.sql.shuffle.partitions": "8"})
+                    conf={"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g"})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cl-tests-"))
     yield s
