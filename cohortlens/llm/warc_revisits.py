@@ -8,11 +8,12 @@ buckets of a URL, one row a bucket. Bodies never move: only validators and heade
 
 A revisit is resolved if its validators agree with the response's: the entity tag by weak
 comparison if it has one, else Last-Modified. Headers that a not-modified answer may update
-replace the response's; all others stay.
+replace the response's; all others stay. Field names ignore case and come out in lower case; a
+validator that a 304 updates is not carried to later revisits, which meet the full response's.
 
 Defined results: a response at the revisit's own time is not earlier; of responses at one
 time the greatest record id counts; a null URL or time matches nothing; null headers are
-none; repeated rows are records each; an empty table gives no rows; extra columns are ignored.
+none; texts (URLs, headers) of any length are whole; repeated rows are records each; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,11 +44,20 @@ def _weak(tag: Column) -> Column:
     return F.regexp_replace(tag, "^W/", "")
 
 
+def lower_names(headers: Column) -> Column:
+    """Fields by lower-case name: names ignore case; of fields that then share a name the one of
+    greatest spelling stays (maps have no order)."""
+    fields = F.transform(F.array_sort(F.map_entries(F.coalesce(headers, F.expr("map()").cast("map<string,string>")))),
+                         lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    names = F.transform(fields, lambda e: e["key"])
+    last = F.filter(fields, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
+    return F.map_from_entries(last)
+
+
 def merged_headers(stored: Column, update: Column) -> Column:
-    """Stored fields, with those replaced that the update may change (names in lower case)."""
-    allowed = F.map_filter(F.coalesce(update, F.expr("map()").cast("map<string,string>")), lambda k, v: k.isin(*PERMITTED))
-    kept = F.map_filter(F.coalesce(stored, F.expr("map()").cast("map<string,string>")),
-                        lambda k, v: ~F.array_contains(F.map_keys(allowed), k))
+    """Stored fields, with those replaced that the update may change, under lower-case names."""
+    allowed = F.map_filter(lower_names(update), lambda k, v: k.isin(*PERMITTED))
+    kept = F.map_filter(lower_names(stored), lambda k, v: ~F.array_contains(F.map_keys(allowed), k))
     return F.map_concat(kept, allowed)
 
 
