@@ -14,10 +14,16 @@ segment of its own. ``read_back`` parses the formatted string again.
 
 DataFrame functions only: variants, higher-order functions and regular expressions.
 
+JSON readers refuse very long strings and variants very large values, so a record may leave its
+texts outside: ``texts`` is an array, and a text in the record that starts with ``REF`` names its
+place there. ``to_records`` does so for all texts of a record that holds over ``INLINE`` characters,
+or any text that itself starts with ``REF``.
+
 Defined results: null text and null role are empty; turns of one number are ordered by role
-and text, and repeated rows are turns each; a null conversation id is one conversation; an
-unknown layout or malformed JSON gives layout 'unknown' and null turns; an empty table gives
-no rows; extra columns are ignored.
+and text, and repeated rows are turns each; a null conversation id is one conversation; texts of any
+length are kept whole; an unknown layout or malformed JSON gives layout 'unknown' and null turns
+(a record written by ``to_records`` that should not parse raises); an empty table gives no rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +38,8 @@ ESC = "\\"
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 ALIASES = {"human": "user", "gpt": "assistant"}
 TURNS = "array<struct<role:string,text:string>>"
+REF = "\u0001text:"    # a text kept outside its record: REF and its place in ``texts``
+INLINE = 1_000_000    # characters of texts that a record may hold itself
 
 
 # ------------------------------------------------------------------ layouts
@@ -95,7 +103,14 @@ def fingerprint(paths: Column) -> Column:
     return F.sha2(paths, 256)
 
 
-def canonical_turns(records: DataFrame, record_col: str = "record", layouts: dict | None = None) -> DataFrame:
+def _outside(turn: Column, texts: Column) -> Column:
+    """The turn with its text fetched from ``texts`` where the record only names it."""
+    place = F.substring(turn["text"], len(REF) + 1, 10).cast("int")
+    return F.struct(turn["role"].alias("role"), F.when(turn["text"].startswith(REF), F.get(texts, place)).otherwise(turn["text"]).alias("text"))
+
+
+def canonical_turns(records: DataFrame, record_col: str = "record", layouts: dict | None = None,
+                    texts_col: str | None = None) -> DataFrame:
     """Adds layout and turns (canonical) to records."""
     layouts = LAYOUTS if layouts is None else layouts
     mark = F.col("_fingerprint")
@@ -104,6 +119,8 @@ def canonical_turns(records: DataFrame, record_col: str = "record", layouts: dic
         known = mark.isin(*[r for r in _literals(records, spec.paths())])
         layout = F.when(known, F.lit(name)).otherwise(layout)
         turns = F.when(known, spec.turns(F.col("_record")).cast(TURNS)).otherwise(turns)
+    if texts_col:
+        turns = F.transform(turns, lambda t: _outside(t, F.col(texts_col)))
     return (records.withColumn("_record", F.try_parse_json(F.col(record_col)))
             .withColumn("_fingerprint", fingerprint(field_paths(F.col("_record"))))
             .withColumns({"layout": layout, "turns": turns}).drop("_record", "_fingerprint"))
@@ -173,7 +190,12 @@ def conversation_turns(rows: DataFrame, id_col: str = "conv_id", turn_col: str =
 
 
 def to_records(turns: DataFrame) -> DataFrame:
-    """conv_id, record: each conversation as JSON in the layout its shape allows."""
+    """conv_id, record, texts: each conversation as JSON in the layout its shape allows, long texts beside it."""
+    size = F.aggregate("turns", F.lit(0).cast("long"), lambda n, x: n + F.char_length(x["text"]))
+    apart = (size > INLINE) | F.exists("turns", lambda x: x["text"].startswith(REF))
+    named = F.transform("turns", lambda x, k: F.struct(x["role"].alias("role"), F.concat(F.lit(REF), k.cast("string")).alias("text")))
+    turns = turns.select("conv_id", F.when(apart, named).otherwise(F.col("turns")).alias("turns"),
+                         F.when(apart, F.transform("turns", lambda x: x["text"])).alias("texts"))
     t = F.col("turns")
     roles = F.transform(t, lambda x: x["role"])
     messages = F.to_json(F.struct(F.transform(t, lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content"))).alias("messages")))
@@ -197,7 +219,7 @@ def to_records(turns: DataFrame) -> DataFrame:
               .when(are("user", "assistant"), fields("prompt", "response"))
               .when(are("system", "user", "assistant"), fields("system", "prompt", "response"))
               .when(plain & odd, from_value).otherwise(messages))
-    return turns.select("conv_id", record.alias("record"))
+    return turns.select("conv_id", record.alias("record"), "texts")
 
 
 def digest(read: DataFrame) -> DataFrame:
@@ -210,4 +232,6 @@ def digest(read: DataFrame) -> DataFrame:
 
 def format_conversations(rows: DataFrame) -> DataFrame:
     """Turn rows -> records -> canonical turns -> formatted text -> digests read back from it."""
-    return digest(read_back(format_chat(canonical_turns(to_records(conversation_turns(rows))))))
+    turns = canonical_turns(to_records(conversation_turns(rows)), texts_col="texts").drop("texts")
+    known = F.when(F.col("layout") == "unknown", F.raise_error(F.concat(F.lit("no layout for conversation "), F.col("conv_id").cast("string")))).otherwise(F.col("turns"))
+    return digest(read_back(format_chat(turns.withColumn("turns", known))))
