@@ -32,12 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.byte_bpe import ByteBpe, sliced
-from cohortlens.llm.common import tokenizer_path, via_table
+from cohortlens.llm.byte_bpe import ByteBpe
+from cohortlens.llm.common import sliced, tokenizer_path, via_table
 
 BYTES, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"   # the ranks are byte_bpe_50k.json's vocabulary
 BLOCK_LINKS = 200_000
-SLICE_BYTES = 1 << 20
 FOLD = 64            # groups of more links than this are folded to distinct ids first
 
 RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
@@ -198,16 +197,15 @@ def _align_blocks(bytes_path: str, pieces_path: str, block_links: int):
                 + [pa.array([[r[4] for r in rows]], pa.list_(pa.string())), pa.array([[len(p) for p in pairs]], pa.list_(pa.int64())),
                    pa.array([_pack(pairs)], pa.binary()), pa.array([_pack(times)], pa.binary())],
                 names=[c.split()[0] for c in BLOCKS.split(", ")])
-        for batch in batches:
-            for part in sliced(batch, 1, SLICE_BYTES):
-                got = align(pair, [(t or b"").decode("utf-8", "replace") for t in part.column(1).to_pylist()])
-                for i, row in zip(part.column(0).to_pylist(), got):
-                    ids.append(i)
-                    rows.append(row)
-                    held += len(row[5]) + 16
-                    if held >= block_links:
-                        yield flush()
-                        ids, rows, held = [], [], 0
+        for part in sliced(batches):
+            got = align(pair, [(t or b"").decode("utf-8", "replace") for t in part.column(1).to_pylist()])
+            for i, row in zip(part.column(0).to_pylist(), got):
+                ids.append(i)
+                rows.append(row)
+                held += len(row[5]) + 16
+                if held >= block_links:
+                    yield flush()
+                    ids, rows, held = [], [], 0
         if ids:
             yield flush()
     return run

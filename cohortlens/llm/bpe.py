@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import bounded_batches, shuffle_partitions, tokenizer_path
+from cohortlens.llm.common import shuffle_partitions, sliced, tokenizer_path
 from cohortlens.llm.wordbpe import word_bpe
 
 BLOCK_ROWS = 8_192   # rows of a file that share a word list
@@ -58,7 +58,7 @@ def _split_words(bins: int, max_words: int = 1_000_000):
 
     def run(batches):
         block, seen = None, set()
-        for batch in batches:
+        for batch in sliced(batches):
             for b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if seen and (b != block or len(seen) >= max_words):
                     yield flush(block, seen)
@@ -80,7 +80,7 @@ def _encode_bins(path: str):
         enc = word_bpe(path)
         table: dict[bytes, bytes] = {}
         current, width = None, enc.dtype.itemsize
-        for batch in batches:
+        for batch in sliced(batches, 2):
             out = []
             for b, block, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if b != current:
@@ -112,7 +112,7 @@ def _pack_texts():
                 [pa.array([block], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([pack(b"".join(texts))], pa.binary())],
                 names=["block", "doc_ids", "lengths", "texts"])
-        for batch in batches:
+        for batch in sliced(batches, 2):
             for b, i, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if ids and (b != block or size >= COMPRESS_BYTES):
                     yield flush()
@@ -177,7 +177,7 @@ def encode_decode(docs: DataFrame, block: Column | None = None, path: str | None
     path = path or tokenizer_path()
     parts = shuffle_partitions(docs.sparkSession)
     block = hash_block(id_col, parts) if block is None else block
-    rows = bounded_batches(docs).select(block.cast("long").alias("block"), F.col(id_col).cast("long").alias("doc_id"),
+    rows = docs.select(block.cast("long").alias("block"), F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("binary").alias("text"))
     listed = rows.select("block", "text").mapInArrow(
         _split_words(4 * parts), "bin int, block long, words binary")

@@ -41,13 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import tokenizer_path, via_table
+from cohortlens.llm.common import sliced, tokenizer_path, via_table
 
 MULTI = "byte_bpe_multi_50k.tiktoken"
 LEAF = 1024          # characters of a leaf
 CHUNK = 1 << 16      # characters that one task encodes as one subtree
 FAN = 8              # neighbours joined by one task on a level above the chunks
-SLICE_BYTES = 4 << 20
 
 # Letters whose class no Unicode version changes; other letters only end a window at white space.
 _LETTERS = "A-Za-zà-öø-ÿа-яА-Я一-龥ぁ-ゖァ-ヺ가-힣"
@@ -185,21 +184,6 @@ CHUNKS = "text_key string, doc_id long, node long, nodes long, text string"
 NODES = "text_key string, doc_id long, node long, nodes long, text string, ids binary, first_sync long, last_sync long"
 
 
-def sliced(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES):
-    """Row ranges of a batch that hold about ``size`` bytes of the column (one row at least)."""
-    import pyarrow.compute as pc
-
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-    lo, held = 0, 0
-    for k, n in enumerate(lengths):
-        if k > lo and held + n > size:
-            yield batch.slice(lo, k - lo)
-            lo, held = k, 0
-        held += n
-    if lo < len(lengths):
-        yield batch.slice(lo)
-
-
 def _text(raw: bytes | None) -> str:
     return (raw or b"").decode("utf-8", "replace")
 
@@ -215,9 +199,8 @@ def _digest_rows(ids: list, nodes: list, bpe: ByteBpe) -> pa.RecordBatch:
 def _encode_whole(path: str):
     def run(batches):
         bpe = byte_bpe(path)
-        for batch in batches:
-            for part in sliced(batch, 1):
-                yield _digest_rows(part.column(0).to_pylist(), [bpe.encode(_text(t)) for t in part.column(1).to_pylist()], bpe)
+        for part in sliced(batches):
+            yield _digest_rows(part.column(0).to_pylist(), [bpe.encode(_text(t)) for t in part.column(1).to_pylist()], bpe)
     return run
 
 

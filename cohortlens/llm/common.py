@@ -39,10 +39,20 @@ def via_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """Few rows an Arrow batch: whole texts, some very long, pass through Python workers."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    return df
+def sliced(batches, column: int = 1, size: int = 1 << 20):
+    """Arrow batches cut into row ranges that hold about ``size`` bytes of a text column (one row at
+    least), so that what a worker builds from a range is bounded by bytes, not by rows."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        lo, held = 0, 0
+        for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            if k > lo and held + n > size:
+                yield batch.slice(lo, k - lo)
+                lo, held = k, 0
+            held += n
+        if lo < batch.num_rows:
+            yield batch.slice(lo)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import bounded_batches, keep_rows, text_digest, via_table
+from cohortlens.llm.common import keep_rows, sliced, text_digest, via_table
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -66,7 +66,7 @@ def measure(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def _measures(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         rows = [measure(t or b"") for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0)] + [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
@@ -78,7 +78,7 @@ def document_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       digest: bool = False) -> DataFrame:
     """doc_id, the five measures, host, base_failed and rule_failed (base or a further rule); with
     ``digest`` also text_sha256."""
-    rows = bounded_batches(docs).select(
+    rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
         F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
         *([text_digest(text_col).alias("text_sha256")] if digest else []))

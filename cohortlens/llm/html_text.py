@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import bounded_batches
+from cohortlens.llm.common import sliced
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("""script style noscript template head title nav footer aside form button select option textarea
@@ -257,7 +257,7 @@ def extract(html: str | None) -> str:
 
 
 def _run(batches):
-    for batch in batches:
+    for batch in sliced(batches, 2):
         text = [extract(h) for h in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
@@ -266,6 +266,6 @@ def _run(batches):
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    rows = bounded_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                                          F.col(html_col).cast("string").alias("html"))
     return rows.mapInArrow(_run, "page_id long, url string, text string, n_chars long")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import bounded_batches, via_table
+from cohortlens.llm.common import sliced, via_table
 from cohortlens.llm.components import components
 
 WORDS = 5
@@ -120,7 +120,7 @@ def _features(batches):
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             s = shingle_set(text or b"")
@@ -142,7 +142,7 @@ def _linked(percent: int):
 
         unpack = zstandard.ZstdDecompressor().decompress
         last, kept = None, None
-        for batch in batches:
+        for batch in sliced(batches, 2, 4 << 20):
             out = []
             for a, b, ta, tb in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if last is None or ta != last:
@@ -239,7 +239,7 @@ def _open_links(members: DataFrame, reps: DataFrame, comp: DataFrame, percent: i
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     feats = via_table(rows.mapInArrow(_features, FEATURES), "near-features")
     classes = via_table(feats.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "near-classes")
     reps = feats.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")

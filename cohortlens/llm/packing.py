@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import bounded_batches, shuffle_partitions, tokenizer_path, via_table
+from cohortlens.llm.common import shuffle_partitions, sliced, tokenizer_path, via_table
 from cohortlens.llm.wordbpe import word_bpe
 
 CAPACITY = 2048
@@ -44,7 +44,7 @@ def _cut(path: str, capacity: int, end_id: int):
     def run(batches):
         enc = word_bpe(path)
         end = np.array([end_id], "<u4")
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.concatenate([np.frombuffer(enc.encode(text or b""), enc.dtype).astype("<u4"), end])
@@ -59,7 +59,7 @@ def _cut(path: str, capacity: int, end_id: int):
 
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
                  end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(_cut(path or tokenizer_path(), capacity, end_id), PIECES)
 
 

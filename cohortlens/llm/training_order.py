@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import bounded_batches, new_table_path, shuffle_partitions, tokenizer_path
+from cohortlens.llm.common import new_table_path, shuffle_partitions, sliced, tokenizer_path
 from cohortlens.llm.wordbpe import word_bpe
 
 LENGTH = 512
@@ -62,7 +62,7 @@ def _sequences(path: str, length: int):
     def run(batches):
         enc = word_bpe(path)
         width = enc.dtype.itemsize * length
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = enc.encode(text or b"")
@@ -113,7 +113,7 @@ def write_training_order(docs: DataFrame, key: int, path: str | None = None, len
     """Writes the shards to the shared folder; returns their folder and the number of sequences."""
     spark = docs.sparkSession
     path = path or tokenizer_path()
-    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     seqs = (rows.mapInArrow(_sequences(path, length), "doc_id long, piece int, tokens binary")
             .withColumn("pid", F.spark_partition_id())
             .withColumn("place", F.monotonically_increasing_id() - F.shiftleft(F.col("pid").cast("long"), 33)))
@@ -159,4 +159,4 @@ def _records(path: str, records: int, first_slot: int):
 def read_training_order(spark, folder: str, first_slot: int = 0, path: str | None = None, records: int = RECORDS) -> DataFrame:
     """Records from ``first_slot`` on (resume), one row each; earlier shards are not opened."""
     shards = spark.read.schema(SHARD).parquet(folder).filter(F.col("shard") >= first_slot // records)
-    return bounded_batches(shards, 8).mapInArrow(_records(path or tokenizer_path(), records, first_slot), RECORD)
+    return shards.mapInArrow(_records(path or tokenizer_path(), records, first_slot), RECORD)

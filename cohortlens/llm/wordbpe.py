@@ -21,8 +21,8 @@ import numpy as np
 # FIXED VALUES: the pre-tokenizer pattern of the vocabulary file
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-MAX_WORDS = 600_000      # words remembered by a worker before it starts afresh
-MAX_PRETOKENS = 400_000
+MAX_WORDS = 200_000      # words remembered by a worker before it starts afresh
+MAX_PRETOKENS = 200_000
 
 
 def _byte_alphabet() -> dict[str, int]:

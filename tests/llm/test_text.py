@@ -127,6 +127,28 @@ def test_filters_pool_over_the_whole_text():
         assert np.allclose(got, want, atol=1e-4)
 
 
+def test_scoring_in_slices_equals_whole_texts_in_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    rng = random.Random(9)
+    model = toxicity.train(*zip(*[(t.encode(), y) for t, y in labelled(60, 4)]))
+    texts = [b" ".join(b"%c%d" % (97 + rng.randrange(8), rng.randrange(3000)) for _ in range(rng.choice([0, 1, 5, 20_000]))) for _ in range(120)]
+    texts += [b"one", b"", b" \n ", b"y" * 600_000, b"a b " * 200_000 + b"stinko"]
+    scorer = toxicity.Scorer(model)
+    tracemalloc.start()
+    sliced, counts = scorer.pooled(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # 2.5 million words
+    monkeypatch.setattr(toxicity, "SLICE_WORDS", 1 << 40)
+    monkeypatch.setattr(toxicity, "SEGMENT_BYTES", 1 << 40)
+    whole, same = toxicity.Scorer(model).pooled(texts)
+    assert np.allclose(sliced, whole, atol=1e-5) and (counts == same).all()
+    monkeypatch.setattr(toxicity, "SEGMENT_BYTES", 3)
+    tiny, same = toxicity.Scorer(model).pooled(texts[:9])
+    assert np.allclose(tiny, whole[:9], atol=1e-5) and (counts[:9] == same).all()
+
+
 def test_classify_uses_no_test_fold_label_and_keeps_rows(spark, awkward):
     rows = [(k, t) for k, (t, _) in enumerate(labelled(200, 5))]
     labels = [(k, y if zlib.crc32(str(k).encode()) % 5 else 1 - y, 0) for k, (_, y) in enumerate(labelled(200, 5))]
@@ -258,3 +280,15 @@ def test_host_verdicts(spark):
 
 def test_host_rules_on_an_empty_table(empty_docs):
     assert host_rules.apply_host_rules(empty_docs).count() == 0
+
+
+def test_texts_longer_than_a_json_string_may_be(spark):
+    """21,000,000 characters in one turn, beside texts that look like references."""
+    rows = spark.sql(f"""SELECT * FROM VALUES (1L, 0L, 'user', 'q <s>'), (2L, 0L, 'user', '{chat.REF}0'), (2L, 1L, 'tool', '{chat.REF}'), (2L, 2L, 'assistant', 'a')
+                         AS t(conv_id, turn, role, text) UNION ALL SELECT 1L, 1L, 'assistant', concat('</s>', repeat('x', 20999996))""")
+    got = {r.conv_id: r for r in chat.format_conversations(rows).collect()}
+    long = "</s>" + "x" * 20_999_996
+    assert got[1].n_turns == 2 and got[1].loss_chars == 21_000_000 and got[1].formatted_chars == 3 + 7 + 4 + 1 + 6 + 8 + 21_000_001 + 4
+    assert got[1].loss_sha256 == hashlib.sha256(long.encode()).hexdigest()
+    assert got[1].turns_sha256 == hashlib.sha256(("user\nq <s>\nassistant\n" + long + "\n").encode()).hexdigest()
+    assert got[2].turns_sha256 == hashlib.sha256(f"user\n{chat.REF}0\ntool\n{chat.REF}\nassistant\na\n".encode()).hexdigest()
