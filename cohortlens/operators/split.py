@@ -4,7 +4,7 @@ Randomness comes from a hash of a stable id and a seed — ``md5(id || '#seed')`
 is identical in Spark and DuckDB — never from partition layout, so a split is
 the same on any cluster size and after executor loss. Splits compare rows with a
 selected threshold; folds that deal rows in order use the range-block row number;
-group folds rank the (small) group-size table.
+group folds go to the lightest fold, dealt out for runs of equal groups.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortlens import constants as K
 from cohortlens.operators.quantiles import row_number_in_groups, select_ranks
+from cohortlens.session import cut_lineage
 
 
 def split_hash(id_col: str, seed: int = K.SEED) -> Column:
@@ -58,18 +59,48 @@ def contiguous_kfold(df: DataFrame, order_col: str, k: int = 3) -> DataFrame:
     return ranked.select(*df.columns, fold.cast("int").alias("fold"))
 
 
+def lightest_first(sizes: list[tuple[int, int]], k: int) -> list[tuple[int, int, int, list[int]]]:
+    """Greedy dealing of runs of equal groups: (size, groups), greatest first, each group to the fold
+    with the fewest rows so far (the lower number at a tie).
+
+    Returns segments (size, first rank, rank after the last, cycle): the groups of a segment go round
+    its folds in turn. Between two folds' loads drawing level the folds below them take turns, so a run
+    of any number of groups has at most k + 1 segments."""
+    loads, out = [0] * k, []
+    for size, groups in sizes:
+        rank = 0
+        while rank < groups:
+            order = sorted(range(k), key=lambda f: (loads[f], f))
+            lead = order[0]
+            turn = [f for f in order if (loads[f], f) < (loads[lead] + size, lead)] or [lead]
+            take = groups - rank
+            if len(turn) < k:  # whole rounds before the next fold joins in
+                other = order[len(turn)]
+                rounds, rest = divmod(loads[other] - loads[lead], size)
+                take = min(take, len(turn) * max(1, rounds - (rest == 0 and other < lead)))
+            out.append((size, rank, rank + take, turn))
+            full, part = divmod(take, len(turn))
+            for k_, f in enumerate(turn):
+                loads[f] += size * (full + (k_ < part))
+            rank += take
+    return out
+
+
 def group_kfold_assign(df: DataFrame, group_col: str, k: int = 5) -> DataFrame:
-    """Group folds balanced by size: groups ranked by size (desc, then key) are
-    dealt in snake order (0..k-1, k-1..0, ...); null key -> '__missing__'."""
+    """Group folds balanced by size: groups by size (desc, then key) each go to the fold with the
+    fewest rows; null key -> '__missing__'. The driver sees how many groups there are of each size (n
+    rows have at most sqrt(2 n) different sizes) and returns the dealing as segments of ranks."""
     g = F.coalesce(F.col(group_col).cast("string"), F.lit(K.MISSING_GROUP))
     keyed = df.withColumn("__g", g)
-    sizes = keyed.groupBy("__g").agg(F.count(F.lit(1)).alias("__size"))
-    ranked = row_number_in_groups(sizes.withColumn("__neg", -F.col("__size")), [],
-                                  ["__neg", "__g"], name="__rk")
-    pos = (F.col("__rk") - 1) % k
-    rnd = F.floor((F.col("__rk") - 1) / k)
-    fold = F.when(rnd % 2 == 0, pos).otherwise(k - 1 - pos).cast("int")
-    folds = ranked.select(F.col("__g").alias("__gk"), fold.alias("fold"))
+    sizes = cut_lineage(keyed.groupBy("__g").agg(F.count(F.lit(1)).alias("__size")))
+    runs = sizes.groupBy("__size").agg(F.count(F.lit(1)).alias("n")).collect()
+    segments = df.sparkSession.createDataFrame(
+        lightest_first(sorted(((r["__size"], r["n"]) for r in runs), reverse=True), k),
+        "__s long, __first long, __after long, __turn array<int>")
+    ranked = row_number_in_groups(sizes, ["__size"], ["__g"], name="__rk").withColumn("__rk", F.col("__rk") - 1)
+    folds = (ranked.join(segments, (F.col("__size") == F.col("__s")) & (F.col("__rk") >= F.col("__first")) & (F.col("__rk") < F.col("__after")))
+             .select(F.col("__g").alias("__gk"),
+                     F.get("__turn", F.pmod(F.col("__rk") - F.col("__first"), F.size("__turn")).cast("int")).alias("fold")))
     return keyed.join(folds, F.col("__g") == F.col("__gk")).select(
         *df.columns, F.col("__g").alias("group_key"), "fold")
 

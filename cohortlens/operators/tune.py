@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortlens import constants as K
 from cohortlens.operators import diagnostics as D
+from cohortlens.operators import gram
 from cohortlens.operators import groupagg as G
 from cohortlens.operators import ml
 from cohortlens.operators import split as S
@@ -158,6 +159,18 @@ def _fold_features(data: DataFrame, k: int, linear: bool, id_col: str):
     return out
 
 
+def cv_trial(train: list, valid: list, kind: str, penalty: float, pruner: MedianPruner) -> tuple[float, str]:
+    """Mean fold RMSE and state of one penalty, from the folds' Gram matrices."""
+    scores, running = [], []
+    for score in gram.fold_rmse(train, valid, kind, penalty):
+        scores.append(score)
+        running.append(float(np.mean(scores)))
+        if len(running) < len(train) and pruner.prune(running):
+            return running[-1], "pruned"
+    pruner.complete(running)
+    return running[-1], "complete"
+
+
 def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3,
                      parallelism: int = 2, id_col: str = "estu_consecutivo", seed: int = K.SEED,
                      fixed: dict[str, float] | None = None, n_startup: int = N_STARTUP_TRIALS) -> DataFrame:
@@ -166,10 +179,12 @@ def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3
 
     ``fixed`` sets parameters by hand instead of drawing them (e.g. a number of rounds); the
     table records the parameters as fitted. Fold preprocessing is fitted once per fold (see
-    ``_fold_features``); each trial x fold then fits only the learner on the feature vectors."""
+    ``_fold_features``); each trial x fold then fits only the learner on the feature vectors, and
+    linear spaces solve all trials from one Gram matrix a fold (``gram``)."""
     spark = df.sparkSession
     data = cut_lineage(S.kfold_assign(df, id_col, k, seed))
     cache: dict[bool, list] = {}
+    grams = None
     rows = []
     for space in spaces:
         profile = PROFILE_OF[space]
@@ -177,6 +192,14 @@ def random_search_cv(df: DataFrame, spaces: list[str], n_trials: int, k: int = 3
         if linear not in cache:
             cache[linear] = _fold_features(data, k, linear, id_col)
         folds, pruner = cache[linear], MedianPruner(n_startup)
+        if linear:  # all trials and folds from the folds' Gram matrices: no job per trial
+            if grams is None:
+                grams = [[gram.total(gram.collect_grams(part, "features")) for part in (trx, vax)] for trx, vax, _ in folds]
+            for t in range(n_trials):
+                p = draw(space, t, seed)
+                p.update({n: float(v) for n, v in (fixed or {}).items() if n in p})
+                rows.append((space, t, *cv_trial([g[0] for g in grams], [g[1] for g in grams], space, p["alpha"], pruner), p))
+            continue
 
         def one_trial(t: int, space=space, profile=profile, folds=folds, pruner=pruner):
             p = draw(space, t, seed)
@@ -261,6 +284,47 @@ def robustness_summary(holdout: DataFrame, folds: DataFrame, temporal: DataFrame
             .unionByName(temporal.select(F.lit("temporal").alias("scheme"), "rmse", "mae", "r2", "n")))
 
 
+def _closed_form_folds(df: DataFrame, features: list[str], fold: str, kind: str, penalty: float, target: str):
+    """(models by fold, trained on the other folds; Gram matrix of each fold)."""
+    grams = gram.collect_grams(df, features, target, F.col(fold))
+    whole = gram.total(grams)
+    return {k: gram.solve(whole - g, kind, penalty) for k, g in grams.items()}, grams
+
+
+def penalty_search(df: DataFrame, features: list[str], n_trials: int, k: int = 3, space: str = "ridge", id_col: str = "estu_consecutivo",
+                   target: str = K.TARGET, seed: int = K.SEED, n_startup: int = N_STARTUP_TRIALS) -> DataFrame:
+    """E1-E3 over numeric columns: seeded penalties, k-fold RMSE and median pruning, from one scan."""
+    whole_rows = df.select(id_col, *features, target).na.drop()
+    grams = gram.collect_grams(S.kfold_assign(whole_rows, id_col, k, seed), features, target, F.col("fold"))
+    whole, pruner, rows = gram.total(grams), MedianPruner(n_startup), []
+    train, valid = [whole - grams[f] for f in sorted(grams)], [grams[f] for f in sorted(grams)]
+    for t in range(n_trials):
+        p = draw(space, t, seed)
+        rows.append((space, t, *cv_trial(train, valid, space, p["alpha"], pruner), p))
+    return df.sparkSession.createDataFrame(rows, "model string, trial int, rmse double, state string, params map<string,double>")
+
+
+def group_kfold_linear(df: DataFrame, features: list[str], group_col: str, k: int = 5, kind: str = "linear", penalty: float = 0.0,
+                       target: str = K.TARGET) -> DataFrame:
+    """E7 with a linear learner: all folds fitted from one aggregate (leave-fold-out by subtraction)
+    and scored in one plan."""
+    f = cut_lineage(S.group_kfold_assign(df.select(group_col, *features, target).na.drop(subset=[*features, target]), group_col, k))
+    models, _ = _closed_form_folds(f, features, "fold", kind, penalty, target)
+    m = D.metric_exprs("y_true", "y_pred")
+    per = (gram.predictions(f, features, models, target, F.col("fold"), ["fold", "group_key"]).groupBy("fold")
+           .agg(*[m[c].alias(c) for c in ("rmse", "mae", "r2")], m["n"].alias("n_val"), F.count_distinct("group_key").alias("n_groups_val")))
+    both = f.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct("group_key").alias("g")).alias("t")).scalar()
+    return per.select((F.col("fold") + 1).cast("int").alias("fold"), "rmse", "mae", "r2", (both.getField("n") - F.col("n_val")).alias("n_train"),
+                      "n_val", (both.getField("g") - F.col("n_groups_val")).alias("n_groups_train"), "n_groups_val")
+
+
+def holdout_linear(train: DataFrame, test: DataFrame, features: list[str], kind: str = "linear", penalty: float = 0.0,
+                   target: str = K.TARGET) -> DataFrame:
+    """A linear learner fitted on ``train`` from one aggregate, metrics on ``test``."""
+    model = gram.solve(gram.total(gram.collect_grams(train, features, target)), kind, penalty)
+    return D.regression_report(gram.predictions(test, features, {0: model}, target))
+
+
 def group_kfold_cell_mean(df: DataFrame, group_col: str, cell: list[str],
                           target: str = K.TARGET, k: int = 5) -> DataFrame:
     """E7 with a closed-form learner (training-fold mean of a categorical cell),

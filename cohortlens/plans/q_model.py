@@ -130,12 +130,28 @@ def contiguous_kfold(spark, sf_dir):
     return S.contiguous_kfold(cohort(spark, sf_dir).select(ID), ID, 3)
 
 
-@register("group_kfold_assign", sql=with_views(f"""
+def greedy_folds_sql(groups: str, name: str = "fo") -> str:
+    """CTEs from ``groups`` (g, sz) to ``name`` (g, fold): one group after another, by size, to the
+    lightest of five folds."""
+    least = "least(l0, l1, l2, l3, l4)"
+    pick = " ".join(f"WHEN l{k} = {least} THEN {k}" for k in range(5))
+    add = ", ".join(f"l{k} + CASE WHEN pick = {k} THEN sz ELSE 0 END AS l{k}" for k in range(5))
+    return f"""{name}_r AS (SELECT g, sz, row_number() OVER (ORDER BY sz DESC, g) AS rk FROM {groups}),
+    {name}_w AS (SELECT CAST(0 AS BIGINT) AS rk, '' AS g, 0 AS fold, {", ".join(f"CAST(0 AS BIGINT) AS l{k}" for k in range(5))}
+      UNION ALL SELECT rk, g, pick AS fold, {add} FROM (
+        SELECT r.rk, r.g, r.sz, l0, l1, l2, l3, l4, CASE {pick} END AS pick FROM {name}_w w JOIN {name}_r r ON r.rk = w.rk + 1)),
+    {name} AS (SELECT g, cast(fold AS int) AS fold FROM {name}_w WHERE rk > 0)"""
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("group_kfold_assign", sql=recursive(with_views(f"""
     , k AS (SELECT {ID}, coalesce(cast(cole_codigo_icfes AS string), '{K.MISSING_GROUP}') AS g FROM cohort),
     s AS (SELECT g, count(*) AS sz FROM k GROUP BY g),
-    r AS (SELECT g, row_number() OVER (ORDER BY sz DESC, g) - 1 AS rk FROM s),
-    f AS (SELECT g, CASE WHEN (rk // 5) % 2 = 0 THEN rk % 5 ELSE 4 - rk % 5 END AS fold FROM r)
-    SELECT {ID}, k.g AS group_key, cast(fold AS int) AS fold FROM k JOIN f ON k.g = f.g"""))
+    {greedy_folds_sql("s", "f")}
+    SELECT {ID}, k.g AS group_key, fold FROM k JOIN f ON k.g = f.g""")))
 def group_kfold_assign(spark, sf_dir):
     return S.group_kfold_assign(cohort(spark, sf_dir).select(ID, "cole_codigo_icfes"),
                                 "cole_codigo_icfes", 5).select(ID, "group_key", "fold")
@@ -274,8 +290,7 @@ _CV_SQL = f"""
                coalesce(fami_estratovivienda, '{K.MISSING_GROUP}') AS c1,
                coalesce(fami_tieneinternet, '{K.MISSING_GROUP}') AS c2, punt_global AS y FROM cohort),
     s AS (SELECT g, count(*) AS sz FROM kk GROUP BY g),
-    r AS (SELECT g, row_number() OVER (ORDER BY sz DESC, g) - 1 AS rk FROM s),
-    fo AS (SELECT g, CASE WHEN (rk // 5) % 2 = 0 THEN rk % 5 ELSE 4 - rk % 5 END AS fold FROM r),
+    {greedy_folds_sql("s")},
     f AS (SELECT kk.*, fold FROM kk JOIN fo ON kk.g = fo.g),
     cf AS (SELECT c1, c2, fold, sum(y) AS scf, count(*) AS ncf FROM f GROUP BY 1, 2, 3),
     ct AS (SELECT c1, c2, sum(y) AS sc, count(*) AS nc FROM f GROUP BY 1, 2),
@@ -294,15 +309,15 @@ _CV_SQL = f"""
               FROM p GROUP BY fold, nt, gt, gfc)"""
 
 
-@register("group_kfold_cell_mean", sql=with_views(_CV_SQL + " SELECT * FROM folds"),
+@register("group_kfold_cell_mean", sql=recursive(with_views(_CV_SQL + " SELECT * FROM folds")),
           floats=["rmse", "mae", "r2"])
 def group_kfold_cell_mean(spark, sf_dir):
     return T.group_kfold_cell_mean(cohort(spark, sf_dir), "estu_mcpio_reside", CV_CELL)
 
 
-@register("fold_summary_cell_mean", sql=with_views(_CV_SQL + """
+@register("fold_summary_cell_mean", sql=recursive(with_views(_CV_SQL + """
     SELECT count(*) AS n_splits, avg(rmse) AS rmse_mean, stddev_samp(rmse) AS rmse_std,
-      avg(mae) AS mae_mean, avg(r2) AS r2_mean FROM folds"""),
+      avg(mae) AS mae_mean, avg(r2) AS r2_mean FROM folds""")),
           floats=["rmse_mean", "rmse_std", "mae_mean", "r2_mean"])
 def fold_summary_cell_mean(spark, sf_dir):
     folds = T.group_kfold_cell_mean(cohort(spark, sf_dir), "estu_mcpio_reside", CV_CELL)
