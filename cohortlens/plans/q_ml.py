@@ -20,6 +20,7 @@ from cohortlens.operators import bundle as B
 from cohortlens.operators import diagnostics as D
 from cohortlens.operators import explain as X
 from cohortlens.operators import ml
+from cohortlens.operators import shapley as SH
 from cohortlens.operators import split as SP
 from cohortlens.operators import tune as T
 from cohortlens.plans import roles as R
@@ -228,10 +229,19 @@ def path_contributions(spark, sf_dir):
 @register("attribution_residuals", sql=with_views(_STRATIFIED.format(src="cohort") + f"""
     SELECT {ID}, cast(0 AS double) AS rest FROM s WHERE role = 'train'"""))
 def attribution_residuals(spark, sf_dir):
-    """I1's additivity: bias and contributions less the prediction are 0 for every training row."""
+    """I1's additivity for a boosted model: base and Shapley values less the prediction are 0 for every
+    training row; they are summed where the row is."""
     model, tr, _ = _tree_model(spark, sf_dir)
-    total = X.path_contributions(model, tr).groupBy(ID).agg(F.sum("contribution").alias("t"))
-    return total.join(ml.predict(model, tr), ID).select(ID, F.abs(F.round(F.col("t") - F.col("y_pred"), 6)).alias("rest"))
+    got = SH.model_shapley(model, tr, ID)
+    total = F.aggregate("phi", F.col("base"), lambda s, x: s + x)
+    return got.select(ID, F.abs(F.round(total - F.col("y_pred"), 6)).alias("rest"))
+
+
+@register("shapley_ranking_boosted")
+def shapley_ranking_boosted(spark, sf_dir):
+    """I1 of a boosted model on the pipeline's features (the same values have SQL in shapley_ranking)."""
+    model, tr, _ = _tree_model(spark, sf_dir)
+    return SH.model_ranking(model, tr)
 
 
 @register("permutation_importance")
@@ -402,5 +412,13 @@ def peek_rows(spark, sf_dir):
     UNION ALL SELECT 'group_kfold', count(*) FROM cohort
     UNION ALL SELECT 'temporal', count(*) FROM cohort WHERE periodo > '{CUT}'"""))
 def robustness_sizes(spark, sf_dir):
-    """E9's scored rows by scheme, with SQL."""
-    return robustness_summary(spark, sf_dir).select("scheme", F.col("n").cast("bigint").alias("n"))
+    """E9's scored rows by scheme from the splits; the metrics with SQL are robustness_linear's."""
+    c = cohort(spark, sf_dir)
+    _, te = _holdout(spark, sf_dir)
+    parts = {"holdout": te, "group_kfold": SP.group_kfold_assign(c, "estu_mcpio_reside", 5),
+             "temporal": SP.temporal_split(c, "periodo", CUT).where(F.col("role") == "test")}
+    out = None
+    for name, df in parts.items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("scheme"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
