@@ -3,15 +3,19 @@
 Selection (quantiles, medians, the k-th smallest hash of a split) never sorts or ranks a
 whole column. One method for all sizes:
 
-1. one partial + final aggregate gives each group's row count and, from a mergeable
+1. the narrow (group, value) rows are written once to the shared checkpoint folder: the plan
+   behind them (joins, casts, unpivots) runs once, the passes below read two columns;
+2. one partial + final aggregate gives each group's row count and, from a mergeable
    approximate percentile, a bracket of values that must hold the wanted ranks;
-2. a second pass counts the rows below each bracket (partial aggregate) and keeps the few
+3. a second pass counts the rows below each bracket (partial aggregate) and keeps the few
    rows inside it, folded to (value, count);
-3. a running count over the folded rows picks the value of each wanted rank exactly. A
+4. a running count over the folded rows picks the value of each wanted rank exactly. A
    rank outside its bracket raises an error instead of giving a wrong value.
 
 The brackets hold about ``2 * MARGIN`` of a group's rows; a column with few distinct values
-folds to those. No job runs while the plan is built.
+folds to those. For the largest groups a bracket is still more than one task should order, so
+the running count is no window over a bracket: folded rows go through a range exchange and are
+summed partition by partition (``running_count``), however many a bracket holds.
 
 Ranks of all rows (``row_number_in_groups``) need a total order: the rows themselves go once
 through a range exchange on (group, order), so a hot group spans many partitions, and are
@@ -25,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.session import cut_lineage
+from cohortlens.session import cut_lineage, written
 
 ACCURACY = 10_000   # of the approximate percentile: rank error of about 1 / ACCURACY
 MARGIN = 0.002      # half width of a bracket, as a share of the group: 20 times that error
@@ -46,7 +50,7 @@ def select_ranks(df: DataFrame, value: str, wanted: list[tuple[float, Column]],
     ``which`` being the pair's position; a rank outside [0, n) gives no row.
     """
     by = list(by or [])
-    base = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    base = written(df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull()), "selection")
     shares = [min(1.0, max(0.0, s + d)) for s, _ in wanted for d in (-MARGIN, MARGIN)]
     probs = F.array(*[F.lit(s) for s in shares])
     stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"),
@@ -74,8 +78,7 @@ def select_ranks(df: DataFrame, value: str, wanted: list[tuple[float, Column]],
         inside = folded.join(counts, _null_safe(folded, by, "__b_"))
     else:
         inside = folded.withColumn("__below", counts.scalar())
-    w = Window.partitionBy(*by, "which").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    run = inside.withColumn("__cum", F.col("__below")[F.col("which")] + F.sum("__c").over(w))
+    run = running_count(inside, [*by, "which"], "__v", "__c").withColumn("__cum", F.col("__below")[F.col("which")] + F.col("__run"))
     hit = (F.col("__cum") > F.col("__rank"))
     picked = run.groupBy(*by, "which").agg(
         F.max("__n").alias("__n"), F.max("__rank").alias("__rank"), F.min(F.when(hit, F.col("__v"))).alias("value"),
@@ -86,6 +89,23 @@ def select_ranks(df: DataFrame, value: str, wanted: list[tuple[float, Column]],
         lost, F.raise_error(F.lit("rank outside its bracket"))).otherwise(F.col("value")).alias("value"))
 
 
+def running_count(df: DataFrame, by: list[str], order: str, count: str, name: str = "__run") -> DataFrame:
+    """Sum of ``count`` up to each row within its group, in order (of distinct values of ``order``).
+
+    A group may span any number of range partitions; a window holds one partition's share of it, and
+    the shares' totals, one row a partition and group, are carried over."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(df.repartitionByRange(n, *by, order).withColumn("__pid", F.spark_partition_id()), "running")
+    shares = rows.groupBy("__pid", *by).agg(F.sum(count).alias("__share"))
+    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.select(F.col("__pid").alias("__spid"), *[F.col(k).alias(f"__s_{k}") for k in by],
+                           F.coalesce(F.sum("__share").over(before), F.lit(0)).alias("__off"))
+    here = Window.partitionBy("__pid", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    part = rows.withColumn("__here", F.sum(count).over(here))
+    both = part.join(shares, (part["__pid"] == F.col("__spid")) & _null_safe(part, by, "__s_"))
+    return both.select(*[part[c] for c in df.columns], (F.col("__off") + F.col("__here")).alias(name))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
     """Long result: ``(*by, prob, quantile)`` with linear interpolation; nulls are ignored."""
     by = list(by or [])

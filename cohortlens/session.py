@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +72,11 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), "tables", name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write once as a columnar table in the shared checkpoint folder and read it back: cuts lineage
+    like ``cut_lineage``, and later passes read only the columns they need."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
