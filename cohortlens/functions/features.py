@@ -135,6 +135,17 @@ def deterministic_columns(persons_map: dict = K.PERSONS_MAP, rooms_map: dict = K
 REPLACED_SOURCES = ["estu_fechanacimiento", "fami_personashogar", "fami_cuartoshogar"]
 
 
+#: the earlier composition's eight features
+EARLY_EIGHT = ["edad_estudiante_aprox", "anio_periodo", "fami_personashogar_num", "fami_cuartos_num", "hacinamiento",
+               "capital_tecnologico", "max_educacion_padres", "indice_socioeconomico"]
+
+
+def add_early_features(df: DataFrame, **kw) -> DataFrame:
+    """the input less the three replaced columns, with eight of the deterministic features."""
+    wide = add_deterministic_features(df, **kw)
+    return wide.select(*[c for c in df.columns if c in wide.columns], *EARLY_EIGHT)
+
+
 def add_deterministic_features(df: DataFrame, **kw) -> DataFrame:
     """One ``select`` adding 16 columns and dropping the 3 replaced sources."""
     cols = deterministic_columns(**kw)

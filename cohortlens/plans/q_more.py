@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from cohortlens import constants as K
 from cohortlens.functions import features as FX
 from cohortlens.operators import clean
+from cohortlens.operators import diagnostics as D
+from cohortlens.operators.vocab import VocabIndexer
+from cohortlens.plans import roles as R
 from cohortlens.plans.cohort import cohort
 from cohortlens.plans.oracle import case_map, features_sql, q, with_views
 from cohortlens.plans.registry import register
+from cohortlens.session import scratch_path
 
 ID = "estu_consecutivo"
 Y = K.TARGET
@@ -161,3 +168,48 @@ def strict_cast_scores(spark, sf_dir):
     c = cohort(spark, sf_dir).select(ID, F.floor(Y).cast("string").alias("punt_text"))
     return clean.cast_numeric(c, []).select(ID, "punt_text", F.col("punt_text").cast("int")
                                             .alias("punt_int"))
+
+
+# ---------------------------------------------------------------- F21, D7, M7
+_DROPPED = {"estu_fechanacimiento", "fami_personashogar", "fami_cuartoshogar"}
+
+
+@register("features_early_eight", sql=with_views("SELECT " + ", ".join(
+    [c for c in R.COHORT_COLUMNS if c not in _DROPPED] + FX.EARLY_EIGHT) + " FROM feat", features=True))
+def features_early_eight(spark, sf_dir):
+    """the earlier composition of eight features."""
+    return FX.add_early_features(cohort(spark, sf_dir))
+
+
+@register("kernel_density", sql=with_views("""
+    , v AS (SELECT estu_genero AS g, punt_global AS v FROM cohort WHERE punt_global IS NOT NULL),
+    s AS (SELECT min(v) AS lo, max(v) - min(v) AS w FROM v),
+    c AS (SELECT g, cast(least(floor((v - lo) / w * 512), 511) AS int) AS cell, count(*) AS n FROM v, s GROUP BY 1, 2),
+    b AS (SELECT g, count(*) AS n_group, 1.06 * least(stddev_samp(v), (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / 1.34)
+            * power(count(*), -0.2) AS bandwidth FROM v GROUP BY g),
+    p AS (SELECT c.g, n, n_group, bandwidth, step, lo + step / 100.0 * w AS x, lo + (cell + 0.5) / 512 * w AS mid
+          FROM c JOIN b ON c.g = b.g, s, (SELECT unnest(range(101)) AS step))
+    SELECT g AS estu_genero, cast(step AS int) AS step, x, n_group, bandwidth,
+      sum(n * exp(-((x - mid) / bandwidth) * ((x - mid) / bandwidth) / 2)) / (n_group * bandwidth * sqrt(2 * 3.141592653589793)) AS density
+    FROM p GROUP BY g, step, x, n_group, bandwidth"""), floats=["x", "bandwidth", "density"])
+def kernel_density(spark, sf_dir):
+    """Kernel density of the score by gender, over all rows."""
+    return D.kernel_density(cohort(spark, sf_dir), "estu_genero", "punt_global")
+
+
+_CODED = ["cole_codigo_icfes", "estu_mcpio_presentacion"]
+
+
+@register("vocabulary_stage", sql=with_views(f"""
+    , tr AS (SELECT * FROM cohort WHERE periodo <= '{R.TRAIN_UNTIL}'),
+    """ + ", ".join(f"""v{k} AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS idx FROM (SELECT DISTINCT cast({c} AS string) AS value FROM tr WHERE {c} IS NOT NULL))"""
+                    for k, c in enumerate(_CODED)) + """
+    SELECT estu_consecutivo, """ + ", ".join(f"cast(coalesce(v{k}.idx, -1) AS double) AS {c}__code" for k, c in enumerate(_CODED)) + """
+    FROM cohort """ + " ".join(f"LEFT JOIN v{k} ON cast(cohort.{c} AS string) = v{k}.value" for k, c in enumerate(_CODED))))
+def vocabulary_stage(spark, sf_dir):
+    """M7: vocabularies learned by a pipeline stage on the training periods, saved, loaded and applied."""
+    c = cohort(spark, sf_dir)
+    path = scratch_path(spark, f"vocabulary-stage-{uuid.uuid4().hex}")
+    stage = VocabIndexer(inputCols=_CODED)
+    Pipeline(stages=[stage]).fit(c.where(F.col("periodo") <= R.TRAIN_UNTIL)).write().save(path)
+    return PipelineModel.load(path).transform(c).select("estu_consecutivo", *[f"{x}__code" for x in _CODED])
