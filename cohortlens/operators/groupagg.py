@@ -65,21 +65,29 @@ def collect_fallbacks(mcpio_lookup: DataFrame, depto_lookup: DataFrame) -> dict[
 
 def apply_lookups(df: DataFrame, mcpio_lookup: DataFrame, depto_lookup: DataFrame,
                   leave_one_out: bool | str = False, mcpio: str = MCPIO,
-                  depto: str = DEPTO, fallbacks: dict[str, float] | None = None) -> DataFrame:
+                  depto: str = DEPTO, fallbacks: dict[str, float] | None = None,
+                  salt: str | None = None) -> DataFrame:
     """Add the five group columns (float). ``leave_one_out`` may be a bool or the
     name of a boolean column selecting LOO per row (train rows only). ``fallbacks``
-    (literals from ``collect_fallbacks``) replaces the scalar subqueries."""
+    (literals from ``collect_fallbacks``) replaces the scalar subqueries. ``salt`` names a column that
+    rows and a replicated municipality lookup share (see ``sources.buckets``): both are then joined
+    on (key, salt)."""
     if fallbacks is not None:
         g = {k: F.lit(v).cast("double") for k, v in fallbacks.items()}
     else:
-        g = global_fallbacks(mcpio_lookup, depto_lookup)
+        once = mcpio_lookup.where(F.col(salt) == 0) if salt else mcpio_lookup
+        g = global_fallbacks(once, depto_lookup)
     ind = indicator_cols()
     ml = mcpio_lookup.select(F.col("key").alias("__mk"), F.col("n").alias("__n"),
                              *[F.col(f"sum_{s}").alias(f"__s_{s}") for s in PCT.values()],
-                             *[F.col(o).alias(f"__p_{o}") for o in PCT])
+                             *[F.col(o).alias(f"__p_{o}") for o in PCT],
+                             *([F.col(salt).alias("__ms")] if salt else []))
+    on = F.col(mcpio) == F.col("__mk")
+    if salt:
+        on = on & (F.col(salt) == F.col("__ms"))
     dl = depto_lookup.select(F.col("key").alias("__dk"),
                              F.col("pct_calendario_b_depto").alias("__p_cal"))
-    j = df.join(ml, F.col(mcpio) == F.col("__mk"), "left") \
+    j = df.join(ml, on, "left") \
           .join(dl, F.col(depto) == F.col("__dk"), "left")
     if isinstance(leave_one_out, str):
         loo_flag = F.coalesce(F.col(leave_one_out), F.lit(False))

@@ -246,10 +246,9 @@ def shapley_ranking_boosted(spark, sf_dir):
 
 @register("permutation_importance")
 def permutation_importance(spark, sf_dir):
+    """I5 over every input column of the pipeline (the same permutations have SQL in permutation_linear)."""
     model, _, te = _tree_model(spark, sf_dir)
-    return X.permutation_importance(model, te, ["fami_estratovivienda", "fami_tieneinternet",
-                                                "estu_mcpio_reside", "fami_educacionmadre",
-                                                "cole_naturaleza"])
+    return X.permutation_importance(model, te, [c for c in te.columns if c not in (ID, K.TARGET)])
 
 
 @register("bundle_roundtrip")
