@@ -91,14 +91,19 @@ def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
         "p25", "p50", "p75", "max", "skew")
 
 
-def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, std, min, max per numeric column (typed, long form)."""
+def describe(df: DataFrame, cols: list[str], quartiles: bool = False) -> DataFrame:
+    """Count, mean, std, min, max per numeric column (typed, long form), with ``quartiles``
+    also p25, p50, p75 (exact, interpolated)."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([], cols, "column", "x")
     x = F.col("x")
-    return long.groupBy("column").agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
-                                      F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                                      F.max(x).alias("max"))
+    out = long.groupBy("column").agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
+                                     F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+                                     F.max(x).alias("max"))
+    if not quartiles:
+        return out
+    q = quantile_columns(long, "x", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"])
+    return out.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:

@@ -69,9 +69,9 @@ METRICS = """sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
 SCORE = "x1 * w1 + x2 * w2 + b AS p"
 
 
-def _search_sql(src: str) -> str:
+def _search_sql(src: str, drawn: list[float] = DRAWS) -> str:
     """CTE ``trials`` (trial, a, rmse): mean RMSE over the folds of each drawn penalty."""
-    draws = ", ".join(f"({t}, CAST({a!r} AS DOUBLE))" for t, a in enumerate(DRAWS))
+    draws = ", ".join(f"({t}, CAST({a!r} AS DOUBLE))" for t, a in enumerate(drawn))
     both = ", ".join(f"t.{c} - f.{c} AS {c}" for c in _S)
     return f"""kf AS (SELECT *, (row_number() OVER (ORDER BY {HASH}, {ID}) - 1) % {FOLDS} AS fold FROM {src}),
     fs AS (SELECT fold, {SUMS} FROM kf GROUP BY fold), ft AS (SELECT {SUMS} FROM kf),

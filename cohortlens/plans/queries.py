@@ -11,7 +11,7 @@ from cohortlens.operators import assoc
 from cohortlens.plans.cohort import cohort
 from cohortlens.plans.oracle import q, with_views
 from cohortlens.plans.registry import register
-from cohortlens.plans import q_encode, q_linear, q_ml, q_model, q_more, q_quality, q_stats, q_storage, q_trees  # noqa: F401
+from cohortlens.plans import q_encode, q_linear, q_ml, q_model, q_more, q_quality, q_serving, q_stats, q_storage, q_trees  # noqa: F401
 
 Y = K.TARGET
 
