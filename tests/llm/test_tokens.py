@@ -97,14 +97,37 @@ def serial(lengths, cap):
     return len(bins)
 
 
+def in_one_process(counts, cap, ranges):
+    """The supersteps without Spark: sweeps of the ranges one after another, then settle."""
+    gaps, placed, opened, steps = [], [], 0, 0
+    for low, high in packing.stretches(cap):
+        pieces = [(packing.PIECE, x, 0, n, 0, 0, 0) for x, n in counts.items() if low < x <= high]
+        while pieces:
+            width, owners = max(1, -(-(cap - low) // ranges)), {}
+            for r in pieces + gaps:
+                owners.setdefault(max(0, (cap - r[1]) // width), []).append(r)
+            rows = packing.settle([x for own in owners.values() for x in packing.successor_sweep(own, cap)], cap, opened)
+            placed += [r for r in rows if r[0] == packing.PLACED]
+            gaps, pieces = ([r for r in rows if r[0] == k] for k in (packing.GAP, packing.PIECE))
+            opened += sum(r[3] for r in rows if r[0] == packing.OPENED)
+            steps += 1
+    return np.array([(r[1], r[2], r[4], r[5], r[6]) for r in placed], np.int64).reshape(-1, 5), opened, steps
+
+
+def random_lengths(rng, n, cap):
+    return [rng.randint(1, cap if rng.random() < 0.5 else max(1, cap // 8)) for _ in range(n)]
+
+
 @pytest.mark.parametrize("cap", [1, 7, 64, 2048])
-def test_runs_equal_serial_best_fit_decreasing(cap):
+def test_supersteps_place_every_piece_as_serial_best_fit_does(cap):
     rng = random.Random(cap)
-    for n in (0, 1, 5, 60, 300):
-        lengths = [rng.randint(1, cap if rng.random() < 0.5 else max(1, cap // 8)) for _ in range(n)]
+    for n in (0, 1, 5, 60, 300, 3000):
+        lengths = random_lengths(rng, n, cap)
         counts = {x: lengths.count(x) for x in lengths}
-        runs, opened = packing.best_fit_runs(counts, cap)
-        assert opened == serial(lengths, cap)
+        runs, opened, steps = in_one_process(counts, cap, 8)
+        assert opened == serial(lengths, cap) and steps < 200
+        # the number of ranges changes nothing
+        assert sorted(map(tuple, runs.tolist())) == sorted(map(tuple, in_one_process(counts, cap, 1)[0].tolist()))
         rows, fill = sorted(map(tuple, runs.tolist())), {}
         for x, k in counts.items():
             own = [r for r in rows if r[0] == x]
@@ -120,6 +143,16 @@ def test_runs_equal_serial_best_fit_decreasing(cap):
             assert at <= cap
 
 
+def test_spark_supersteps_equal_those_in_one_process(spark):
+    lengths = random_lengths(random.Random(3), 400, 64)
+    counts = {x: lengths.count(x) for x in lengths}
+    table = spark.createDataFrame(list(counts.items()), "length long, n long")
+    runs, opened = packing.matched_runs(table, counts, 64)
+    want, n, _ = in_one_process(counts, 64, packing.RANGES)
+    assert opened == n and sorted(map(tuple, runs.tolist())) == sorted(map(tuple, want.tolist()))
+    assert packing.matched_runs(table.where("n < 0"), {}, 64)[1] == 0
+
+
 def test_packed_documents(awkward, clashing, library):
     want = []
     for i, t, *_ in docs_rows():
