@@ -3,7 +3,8 @@
 A page is parsed into a small DOM (unclosed paragraphs, list items and inline marks are
 closed as browsers do, inside left-out elements too). Elements that never hold the article are left out first: scripts,
 styles, navigation, page headers and footers, sidebars, forms, hidden parts, and elements
-whose class, id or role names an advert, menu, notice, comment section or the like. Every
+whose class, id or role names an advert, menu, notice, comment section or the like (an article
+element only if it is named as a reader's comment). Every
 remaining element gets its link-adjusted density of characters per tag,
 
     C/T * log(C/LC * T/LT) / log(ln(C/nLC * LC + LCb/Cb * C + e))
@@ -13,6 +14,11 @@ as one), and the sum of its children's densities. The element of greatest sum is
 core is the threshold. Every element at or
 above the threshold contributes the subtree of greatest density sum inside it.
 
+Furniture without a telling name goes by density: a core that is no article element narrows to
+the one block that holds most of its text, as long as everything beside that block is made of
+links or is a plain block thinner than the densest one inside; such blocks beside the path from
+the core to the body contribute nothing.
+
 Text keeps page order; white space inside a block becomes one space, blocks are joined by
 one. The whole page is read; nothing is cut.
 
@@ -51,10 +57,13 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 NOISE = re.compile(r"""^(?:
     (?:site|page|global|top|main|blog)?[-_]?(?:header|footer|nav|navbar|navigation|menu|masthead)|
     (?:.*[-_])?(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:s|ted|tion)?|banner|sidebar|cookies?|consent|gdpr|
-        notices?|disclaimer|alert|popup|modal|overlay|comments?|disqus|repl(?:y|ies)|respond|breadcrumbs?|pagination|pager|
+        notices?|disclaimer|alert|popup|modal|overlay|breadcrumbs?|pagination|pager|
         newsletter|subscri(?:be|ption)|signup|sign-up|login|share|sharing|social|related|recommended|recommendations|
         widgets?|toolbar|search|skip-?link|paywall)(?:[-_].*)?
     )$""", re.I | re.X)
+#: reader comments; they are no article even as article elements
+COMMENTS = re.compile(r"^(?:discussion|(?:.*[-_])?(?:comments?|disqus|repl(?:y|ies)|respond)(?:[-_].*)?)$", re.I)
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -74,8 +83,10 @@ def is_noise(tag: str, attrs: dict, in_article: bool) -> bool:
         return True
     if (attrs.get("role") or "").lower() in ROLES:
         return True
-    names = (attrs.get("class") or "").split() + (attrs.get("id") or "").split()
-    return any(NOISE.match(n) for n in names)
+    names = [CAMEL.sub("-", n) for n in (attrs.get("class") or "").split() + (attrs.get("id") or "").split()]
+    if tag == "article" and not in_article:  # an article about notices or related work is an article
+        return any(COMMENTS.match(n) for n in names)
+    return any(NOISE.match(n) or COMMENTS.match(n) for n in names)
 
 
 class _Dom(HTMLParser):
@@ -213,6 +224,31 @@ def _densities(root: Node) -> None:
                 n.best = x.best
 
 
+def _blocks(node: Node) -> list[Node]:
+    return [c for c in node.children if isinstance(c, Node) and c.tag not in INLINE and c.chars]
+
+
+def _is_furniture(block: Node, body: Node) -> bool:
+    """Beside ``body``: a block of links, or a plain block of running text without paragraphs that is
+    thinner than the body's densest block."""
+    if 2 * block.link_chars > block.chars:
+        return True
+    return block.tag == "div" and not _blocks(block) and block.density < max((x.density for x in _blocks(body)), default=body.density)
+
+
+def _narrowed(core: Node) -> Node:
+    """The core without unnamed furniture around it: while one block with blocks of its own holds most
+    of the text that is no link and everything beside it is furniture, that block is the core."""
+    while True:
+        blocks = _blocks(core)
+        body = max(blocks, key=lambda x: x.chars - x.link_chars, default=None)
+        if (body is None or not _blocks(body) or 2 * (body.chars - body.link_chars) < core.chars - core.link_chars
+                or any(isinstance(c, str) and c.strip() or isinstance(c, Node) and c.tag in INLINE and c.chars for c in core.children)
+                or not all(_is_furniture(x, body) for x in blocks if x is not body)):
+            return core
+        core = body
+
+
 def _text(root: Node, marked: set[int]) -> str:
     """Text under marked elements in page order; blocks end at elements that are not inline."""
     out, stack = [], [(root, id(root) in marked)]
@@ -243,14 +279,18 @@ def extract(html: str | None) -> str:
     while node is not None:  # the core's article is the article, its heading included
         core = node if node.tag == "article" else core
         node = node.parent
-    node, threshold = core, math.inf
+    if core.tag != "article":
+        core = _narrowed(core)
+    node, threshold, furniture = core, math.inf, set()
     while node is not None:
         threshold = min(threshold, node.density)
+        if node.parent is not None:
+            furniture.update(id(x) for x in _blocks(node.parent) if x is not node and _is_furniture(x, node))
         node = node.parent
     marked, stack = {id(core)}, [root]
     while stack:
         node = stack.pop()
-        if node.density >= threshold and node.chars:
+        if node.density >= threshold and node.chars and id(node) not in furniture:
             marked.add(id(node.best))
             stack += [c for c in node.children if isinstance(c, Node)]
     return _text(root, marked)

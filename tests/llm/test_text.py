@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import hashlib
 import random
 import zlib
@@ -62,6 +63,42 @@ def test_unclosed_noise_ends_where_browsers_end_it(html, want):
     assert html_text.extract(html) == want
 
 
+ARTICLE = "<h1>Head</h1><p>" + "words of the text " * 20 + "</p><p>" + "more words " * 20 + "</p>"
+
+
+@pytest.mark.parametrize("name", ["related-work", "notices", "share-price", "search-engines", "sponsoredStory"])
+def test_an_article_is_not_dropped_by_its_name(name):
+    got = html_text.extract(f'<body><article class="{name}">{ARTICLE}</article></body>')
+    assert got.startswith("Head words of") and got.endswith("more words")
+
+
+@pytest.mark.parametrize("comments", ['<div class="commentList"><p>{}</p></div>', '<div id="discussion"><p>{}</p></div>',
+                                      '<article class="comment-body"><p>{}</p></article>', '<ul id="userComments"><li>{}</li></ul>'])
+def test_reader_comments_go(comments):
+    page = f'<body><article>{ARTICLE}</article>{comments.format("reader says " * 40)}</body>'
+    assert "reader" not in html_text.extract(page) and html_text.extract(page).endswith("more words")
+
+
+def test_density_finds_the_article_without_names():
+    links = "".join(f'<li><a href="/{k}">place {k}</a></li>' for k in range(8))
+    bare = f"<body><div><ul>{links}</ul></div><div>Buy this now.</div><div>{ARTICLE}</div><div>Imprint of us.</div></body>"
+    assert html_text.extract(bare) == html_text.extract(f"<body><article>{ARTICLE}</article></body>")
+
+
+def test_like_sections_of_an_unnamed_article_are_whole():
+    page = f"<body><div><div>{ARTICLE}</div><div>{ARTICLE}</div></div></body>"
+    assert html_text.extract(page) == " ".join([html_text.extract(f"<article>{ARTICLE}</article>")] * 2)
+
+
+def test_driver_pages_without_semantic_tags_or_classes(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+
+    def bare(page):
+        return re.sub(r'\s(class|id|role)="[^"]*"', "", re.sub(r"<(/?)(nav|footer|aside|article|header|main|section)\b", r"<\1div", page))
+    same = sum(html_text.extract(r.html) == html_text.extract(bare(r.html)) for r in rows)
+    assert same >= 0.95 * len(rows)
+
+
 def test_deep_and_long_pages():
     assert html_text.extract("<div>" * 5000 + "deep") == "deep"
     assert len(html_text.extract("<p>" + "word " * 200_000)) == 5 * 200_000 - 1
