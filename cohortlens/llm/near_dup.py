@@ -12,10 +12,13 @@
        bucket. A pair misses all bands with probability 1e-8 at similarity 0.85, 3e-6 at 0.8.
     4. Stars: each bucket pairs its members with its least and its greatest member; pairs are
        checked on full shingle sets, and links give components.
-    5. Buckets that still span several components are compared block by block (about
-       ``BLOCK`` members a side in one task): members of different components whose sizes and
-       sketches allow the similarity are checked on full sets, each pair in the first band it
-       shares; only links that join components come out, at most one a member and block.
+    5. Buckets that still span several components are compared block by block: pairs of
+       different components whose sizes and sketches allow the similarity, each in the first
+       band it shares. Ids and sketches alone decide first, ``SPAN`` blocks a side in one task,
+       which blocks a member has such a partner in; only there its text goes, and the pairs
+       are checked on full sets (blocks of about ``BLOCK`` members or ``BLOCK_SHINGLES``
+       shingles, whichever are more blocks). Links that join components come out, at most one
+       a member and block.
     6. Components of all links.
 
 No bucket is capped; a pair is passed over only if its members are already in one component,
@@ -44,6 +47,9 @@ PERCENT = 85
 BANDS, ROWS = 32, 5
 COORDS = BANDS * ROWS
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
+SPAN = 16
+SETS_BYTES = 64 << 20  # shingle sets that a block's task keeps; others are made again
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -166,6 +172,28 @@ def _first_band(bands: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (bands == x).argmax(axis=1)
 
 
+def _partners(columns: tuple[np.ndarray, ...], at, others, same: bool, band: int, percent: int):
+    """For each member of ``at``: (member, those of ``others`` it may be linked with), where sizes and
+    sketches allow the similarity, components differ and no earlier band is shared.
+    columns: ids, components (read anew for each member), sizes, bands, sketches."""
+    ids, comp, n, bands, s = columns
+    least = min_agree(percent)
+    for x in at.tolist():
+        y = others[(comp[others] != comp[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
+        if same:
+            y = y[ids[y] > ids[x]]
+        y = y[(s[y] == s[x]).sum(axis=1) >= least]
+        if len(y):
+            yield x, y[_first_band(bands[y], bands[x]) == band]
+
+
+def _columns(members: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Arrays of (id, component, size, bands, sketch) that lead each member."""
+    ids, comp, n = (np.array([r[k] for r in members], np.int64) for k in range(3))
+    bands = np.array([r[3] for r in members], np.int64)
+    return ids, comp, n, bands, np.frombuffer(b"".join([r[4] for r in members]), np.uint8).reshape(len(members), COORDS)
+
+
 def _block_links(members: list[tuple], i: int, j: int, band: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that join components, among the members (side, id, component, size, bands, sketch, text)
     of one block pair. A pair is tested in the first band it shares, if sizes and sketches allow the
@@ -173,67 +201,103 @@ def _block_links(members: list[tuple], i: int, j: int, band: int, percent: int =
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
-    least = min_agree(percent)
-    side, ids, comp, n = (np.array([r[k] for r in members], np.int64) for k in range(4))
-    bands = np.array([r[4] for r in members], np.int64)
-    s = np.frombuffer(b"".join([r[5] for r in members]), np.uint8).reshape(len(members), COORDS)
+    side = np.array([r[0] for r in members], np.int64)
+    columns = ids, comp, *_ = _columns([r[1:6] for r in members])
     sets: dict[int, np.ndarray] = {}
 
     def shingles(k):
         if k not in sets:
+            if sum(v.nbytes for v in sets.values()) > SETS_BYTES:
+                sets.clear()
             sets[k] = shingle_set(unpack(members[k][6]))
         return sets[k]
     at = np.flatnonzero(side == i)
-    others = at if i == j else np.flatnonzero(side == j)
     out = []
-    for x in at.tolist():
-        y = others[(comp[others] != comp[x]) & (100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))]
-        if i == j:
-            y = y[ids[y] > ids[x]]
-        y = y[(s[y] == s[x]).sum(axis=1) >= least]
-        for k in y[_first_band(bands[y], bands[x]) == band].tolist() if len(y) else []:
+    for x, y in _partners(columns, at, at if i == j else np.flatnonzero(side == j), i == j, band, percent):
+        for k in y.tolist():
             if comp[k] != comp[x] and similar(shingles(x), shingles(k), percent):
                 out.append((int(ids[x]), int(ids[k])))
                 comp[comp == comp[k]] = comp[x]
     return out
 
 
+def _meeting_blocks(members: list[tuple], i: int, j: int, band: int, percent: int = PERCENT,
+                    width: int = SPAN) -> list[tuple[int, int, int, int]]:
+    """(lesser block, greater block, id, its block) for every member (block, id, component, size, bands,
+    sketch) of spans i and j, of ``width`` blocks, that may be linked with another by sizes and sketches."""
+    block = np.array([r[0] for r in members], np.int64)
+    columns = ids, *_ = _columns([r[1:6] for r in members])
+    at = np.flatnonzero(block // width == i)
+    out = set()
+    for x, y in _partners(columns, at, at if i == j else np.flatnonzero(block // width == j), i == j, band, percent):
+        for k in y.tolist():
+            pair = sorted((int(block[x]), int(block[k])))
+            out.add((*pair, int(ids[x]), int(block[x])))
+            out.add((*pair, int(ids[k]), int(block[k])))
+    return sorted(out)
+
+
+def _by_group(batches, bands_at: int):
+    """Rows (key, i, j, band, member...) sorted by group -> (group, members); bands come as arrays."""
+    group, rows = None, []
+    for batch in batches:
+        columns = [batch.column(k).to_pylist() if k != bands_at else batch.column(k).flatten().to_numpy().reshape(-1, BANDS)
+                   for k in range(batch.num_columns)]
+        for key, i, j, band, *member in zip(*columns):
+            if (key, i, j, band) != group:
+                if rows:
+                    yield group, rows
+                group, rows = (key, i, j, band), []
+            rows.append(member)
+    if rows:
+        yield group, rows
+
+
 def _compare_blocks(percent: int):
     """Members of one block pair, sorted together -> links that join components."""
     def run(batches):
-        group, rows = None, []
-
-        def flush():
+        for group, rows in _by_group(batches, 8):
             links = _block_links(rows, *group[1:], percent)
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        for batch in batches:
-            columns = [batch.column(k).to_pylist() if k != 8 else batch.column(k).flatten().to_numpy().reshape(-1, BANDS)
-                       for k in range(11)]
-            for key, i, j, band, *member in zip(*columns):
-                if (key, i, j, band) != group:
-                    if rows:
-                        yield flush()
-                    group, rows = (key, i, j, band), []
-                rows.append(member)
-        if rows:
-            yield flush()
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    return run
+
+
+def _compare_sketches(percent: int, width: int):
+    """Members of one pair of spans, sorted together -> the block pairs in which a member may have a link."""
+    def run(batches):
+        for (key, i, j, band), rows in _by_group(batches, 8):
+            met = _meeting_blocks(rows, i, j, band, percent, width)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key] * len(met), pa.int64()), pa.array([m[0] for m in met], pa.int32()),
+                 pa.array([m[1] for m in met], pa.int32()), pa.array([band] * len(met), pa.int32()),
+                 pa.array([m[3] for m in met], pa.int32()), pa.array([m[2] for m in met], pa.int64())],
+                names=["key", "i", "j", "band", "side", "doc_id"])
     return run
 
 
 def _open_links(members: DataFrame, reps: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """Links still missing: buckets that span components, compared in blocks of bounded size."""
-    named = members.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
-        .select("key", "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    open_keys = (named.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .filter("lo < hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
+    """Links still missing: buckets that span components, compared in blocks of bounded size, first by
+    ids and sketches, then on the texts of the members that may have a link there."""
+    comp = comp.withColumnRenamed("node", "doc_id")
+    named = members.join(comp, "doc_id", "left").select("key", "band", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+    open_keys = (named.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("size"),
+                                          F.min("component").alias("lo"), F.max("component").alias("hi"))
+                 .filter("lo < hi")
+                 .select("key", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
     block = F.pmod(F.xxhash64("key", "doc_id"), F.col("blocks").cast("long")).cast("int")
-    rows = (named.join(open_keys, "key").join(reps.select("doc_id", "n_shingles", "bands", "sketch", "text"), "doc_id")
-            .withColumn("side", block)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "band",
-                    "side", "doc_id", "component", "n_shingles", "bands", "sketch", "text"))
-    return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    span = F.floor(F.col("block") / SPAN).cast("int")
+    rows = (named.join(open_keys, "key").join(reps.select("doc_id", "bands", "sketch"), "doc_id")
+            .withColumn("block", block).withColumn("span", span)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.floor((F.col("blocks") - 1) / SPAN).cast("int"))))
+            .select("key", F.least("span", "other").alias("i"), F.greatest("span", "other").alias("j"), "band",
+                    "block", "doc_id", "component", "n_shingles", "bands", "sketch"))
+    meet = via_table(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+                     .mapInArrow(_compare_sketches(percent, SPAN), "key long, i int, j int, band int, side int, doc_id long"),
+                     "near-meeting")
+    texts = (meet.join(reps.select("doc_id", "n_shingles", "bands", "sketch", "text"), "doc_id").join(comp, "doc_id", "left")
+             .select("key", "i", "j", "band", "side", "doc_id", F.coalesce("component", "doc_id").alias("component"),
+                     "n_shingles", "bands", "sketch", "text"))
+    return (texts.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(_compare_blocks(percent), "a long, b long").distinct())
 
 
@@ -243,7 +307,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     feats = via_table(rows.mapInArrow(_features, FEATURES), "near-features")
     classes = via_table(feats.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")), "near-classes")
     reps = feats.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
-    bands = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
+    bands = reps.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     shared = bands.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
     members = via_table(bands.join(shared, "key"), "near-members")
     stars = (members.select("doc_id", F.explode(F.array("lo", "hi")).alias("hub")).filter("doc_id != hub")

@@ -98,6 +98,57 @@ def test_blocks_compare_every_pair_once(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == near_brute(rows)
 
 
+def test_spans_of_blocks_find_every_link(spark, monkeypatch):
+    """Buckets of many blocks and several spans, also with blocks by shingles, find what brute force finds."""
+    rng = random.Random(6)
+    base = words(200, 4).split()
+    rows = [(i, " ".join(w if rng.random() > 0.012 else f"o{i}{k}" for k, w in enumerate(base)), "en", "s", 0) for i in range(30)]
+    want = near_brute(rows)
+    for block, shingles, span in ((3, 1 << 20, 2), (512, 600, 1)):
+        for name, value in (("BLOCK", block), ("BLOCK_SHINGLES", shingles), ("SPAN", span)):
+            monkeypatch.setattr(near_dup, name, value)
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, DOCS))
+        assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def _made_members(n, seed):
+    """Members (block, id, component, size, bands, sketch, text) of one bucket: pairs at all similarities."""
+    import zstandard
+
+    rng = random.Random(seed)
+    base, out = words(120, seed).split(), []
+    for i in range(n):
+        text = " ".join(w if rng.random() > 0.02 * (i % 4) else f"o{i}{k}" for k, w in enumerate(base)).encode()
+        s = near_dup.shingle_set(text)
+        k = near_dup.sketch(s)
+        out.append((i % 5, i, i, len(s), near_dup.band_keys(k), k.astype(np.uint8).tobytes(), zstandard.ZstdCompressor().compress(text)))
+    return out
+
+
+@pytest.mark.parametrize("width", [1, 2, 5])
+def test_texts_go_only_where_a_sketch_may_have_a_partner(width):
+    """Block pairs found by sketches hold every link of the band; members without a partner stay out."""
+    members = _made_members(40, 8)
+    spans = range(-(-5 // width))
+    met = [m for i in spans for j in spans if i <= j for m in near_dup._meeting_blocks(
+        [r[:6] for r in members if r[0] // width in (i, j)], i, j, 0, 85, width)]
+    assert len(met) == len(set(met))
+    wide = {(i, j): near_dup._block_links([r for r in members if r[0] in (i, j)], i, j, 0) for i in range(5) for j in range(i, 5)}
+    assert sum(map(len, wide.values())) > 10
+    for (i, j), links in wide.items():
+        there = {m[2] for m in met if m[:2] == (i, j)}
+        assert {x for link in links for x in link} <= there
+        assert near_dup._block_links([r for r in members if r[0] in (i, j) and r[1] in there], i, j, 0) == links
+    assert near_dup._meeting_blocks([r[:6] for r in members[:1]], 0, 0, 0) == []
+
+
+def test_shingle_sets_beyond_the_kept_bytes_are_made_again(monkeypatch):
+    members = [(0, *r[1:]) for r in _made_members(30, 9)]
+    want = near_dup._block_links(members, 0, 0, 0)
+    monkeypatch.setattr(near_dup, "SETS_BYTES", 1)
+    assert near_dup._block_links(members, 0, 0, 0) == want != []
+
+
 def near_brute_at(percent, sets):
     """Least id of each document's component, by all pairs."""
     comp = {i: i for i in sets}
