@@ -2,9 +2,11 @@
 
 Records (responses and revisits) meet by canonical URL: a revisit takes the latest earlier
 full response. The as-of join has two levels, so that a URL with a third of all records is
-spread over many tasks: records are cut into time buckets; a window inside each (URL, bucket)
-carries the last response forward, and the buckets' last responses are carried over the
-buckets of a URL, one row a bucket. Bodies never move: only validators and headers do.
+spread over many tasks, also if they all fall on one moment: a range exchange on (URL, time,
+kind, id) cuts the ordered records into buckets of about equal size, which are written to the
+shared folder; a window inside each (URL, bucket) carries the last response forward, and the
+buckets' last responses are carried over the buckets of a URL, one row a bucket. Bodies never
+move: only validators and headers do.
 
 A revisit is resolved if its validators agree with the response's: the entity tag by weak
 comparison if it has one, else Last-Modified. Headers that a not-modified answer may update
@@ -21,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.llm.common import shuffle_partitions, via_table
+
 #: FIXED VALUES: header fields that a 304 answer updates in a stored response (RFC 9110, 9111)
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
-BUCKETS = 4096
 
 
 def canonical_url(url: Column) -> Column:
@@ -61,17 +64,25 @@ def merged_headers(stored: Column, update: Column) -> Column:
     return F.map_concat(kept, allowed)
 
 
-def resolve_revisits(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def bucketed(records: DataFrame, buckets: int) -> DataFrame:
+    """Records in order (URL, time, responses last, id) with the bucket of each, about equally many in
+    each; equal records are told apart by their place in the input, so they are split like others.
+    The input is read from files, or is a frame whose tasks give the same order when run again."""
+    return via_table(records.withColumn("place", F.monotonically_increasing_id())
+                     .repartitionByRange(buckets, "canonical_url", "ts", "full", "record_id", "place")
+                     .withColumn("bucket", F.spark_partition_id()).drop("place"), "revisit-records")
+
+
+def resolve_revisits(records: DataFrame, buckets: int | None = None) -> DataFrame:
     """records (record_id, kind, url, ts, etag, last_modified, headers, payload_sha256) -> one row
-    per revisit: record_id, canonical_url, ts, status, refers_to, headers, payload_sha256."""
+    per revisit: record_id, canonical_url, ts, status, refers_to, headers, payload_sha256.
+    ``buckets``: as many as shuffle partitions unless given."""
     r = records.select(
         F.col("record_id").cast("long").alias("record_id"), (F.col("kind") == "response").alias("full"),
         canonical_url(F.col("url")).alias("canonical_url"), F.col("ts").cast("long").alias("ts"), "etag", "last_modified",
         F.col("headers").cast("map<string,string>").alias("headers"), "payload_sha256").filter(F.col("full").isNotNull())
     lost = r.filter(~F.col("full") & (F.col("canonical_url").isNull() | F.col("ts").isNull()))
-    r = r.filter(F.col("canonical_url").isNotNull() & F.col("ts").isNotNull())
-    span = r.agg(F.struct(F.min("ts").alias("lo"), F.greatest(F.lit(1.0), (F.max("ts") - F.min("ts") + 1) / buckets).alias("w")).alias("s")).scalar()
-    r = r.withColumn("s", span).withColumn("bucket", F.floor((F.col("ts") - F.col("s.lo")) / F.col("s.w"))).drop("s")
+    r = bucketed(r.filter(F.col("canonical_url").isNotNull() & F.col("ts").isNotNull()), buckets or shuffle_partitions(r.sparkSession))
     stored = F.when(F.col("full"), F.struct("record_id", "etag", "last_modified", "headers", "payload_sha256"))
     # revisits come before responses of their own time
     inside = Window.partitionBy("canonical_url", "bucket").orderBy("ts", "full", "record_id").rowsBetween(Window.unboundedPreceding, 0)
@@ -84,7 +95,7 @@ def resolve_revisits(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     carried = marks.withColumn("carried", F.last("end", ignorenulls=True).over(over)).select("canonical_url", "bucket", "carried")
     found = (local.filter(~F.col("full")).join(carried, ["canonical_url", "bucket"], "left")
              .withColumn("found", F.coalesce("found", "carried")))
-    out = found.unionByName(lost.withColumns({"bucket": F.lit(None).cast("long"), "found": F.lit(None).cast(found.schema["found"].dataType),
+    out = found.unionByName(lost.withColumns({"bucket": F.lit(None).cast("int"), "found": F.lit(None).cast(found.schema["found"].dataType),
                                               "carried": F.lit(None).cast(found.schema["carried"].dataType)}))
     f = F.col("found")
     agrees = F.when(F.col("etag").isNotNull(), _weak(F.col("etag")) == _weak(f["etag"])).otherwise(F.col("last_modified") == f["last_modified"])

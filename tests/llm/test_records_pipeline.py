@@ -56,6 +56,24 @@ def test_revisits(spark, buckets):
     assert warc_revisits.resolve_revisits(df.limit(0)).count() == 0
 
 
+def test_a_burst_of_one_url_is_split(spark):
+    """A URL with most records, all of one moment or repeated: buckets of like size, right answers."""
+    h = {"etag": '"1"'}
+    rows = [(1, "response", "http://a.com/x", 10, '"1"', None, h, "p1")]
+    rows += [(k, "revisit", "http://a.com/x", 20, '"1"', None, h, None) for k in range(2, 1202)]
+    rows += [(5000, "revisit", "http://a.com/x", 30, '"2"', None, h, None)] * 800
+    rows += [(5001, "response", "http://a.com/x", 30, '"2"', None, h, "p2"), (5002, "revisit", "http://a.com/x", 31, '"2"', None, h, None)]
+    rows += [(6000 + k, "revisit", f"http://b.com/{k}", 20, '"1"', None, h, None) for k in range(100)]
+    df = spark.createDataFrame(rows, RECORD)
+    cut = warc_revisits.bucketed(df.select("record_id", (F.col("kind") == "response").alias("full"),
+                                           warc_revisits.canonical_url(F.col("url")).alias("canonical_url"), "ts"), 16)
+    sizes = [r["count"] for r in cut.groupBy("canonical_url", "bucket").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 3 * len(rows) / 16
+    got = [(r.record_id, r.status, r.refers_to) for r in warc_revisits.resolve_revisits(df, 16).collect()]
+    want = [(k, "resolved", 1) for k in range(2, 1202)] + [(5000, "validator_mismatch", None)] * 800 + [(5002, "resolved", 5001)]
+    assert sorted(got, key=str) == sorted(want + [(6000 + k, "no_earlier_response", None) for k in range(100)], key=str)
+
+
 def test_header_names_ignore_case(spark):
     df = spark.createDataFrame([
         (1, "response", "u.com", 1, '"1"', None, {"ETag": '"1"', "Date": "a", "Server": "o", "date": "b"}, "p"),
