@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,9 +72,32 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+_SCOPE: contextvars.ContextVar[tuple[str, ...]] = contextvars.ContextVar("scratch_scope", default=())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), "tables", name)
+    """A path under the shared checkpoint folder for intermediate tables (inside the open scope)."""
+    return os.path.join(checkpoint_dir(spark), "tables", *_SCOPE.get(), name)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system Spark reads; none is fine."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside are deleted at the end, also after an error. Frames made
+    inside read them lazily, so a result must be written elsewhere, or used up, before the end.
+    Scopes may be nested; threads started inside write outside of it. Gives the scope's folder."""
+    token = _SCOPE.set((*_SCOPE.get(), f"scope-{uuid.uuid4().hex}"))
+    folder = os.path.dirname(scratch_path(spark, "x"))
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        drop_path(spark, folder)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
