@@ -3,13 +3,16 @@
 Each stage calls one operator of ``cohortlens.llm`` on all documents its predecessor kept. All
 but the last return the columns of ``documents``; the last returns packed pieces. Between
 stages the documents are written to the shared folder and read again, so a lost executor
-costs at most one stage's tasks.
+costs at most one stage's tasks; a stage's own tables, and the documents it read, are deleted
+once its result is written. The last stage's stay, since the result reads them: call ``run``
+inside ``cohortlens.session.scratch_scope`` and write its result there to leave none.
 """
 
 from __future__ import annotations
 
 from cohortlens.llm import exact_dedup, host_rules, near_dup, packing, toxicity
-from cohortlens.llm.common import keep_rows, load, text_digest, via_table
+from cohortlens.llm.common import keep_rows, load, new_table_path, text_digest
+from cohortlens.session import drop_path, scratch_scope
 
 NEAR_PERCENT = 80  # least shingle similarity of near copies in the stage
 ORACLE_SQL = None  # the classifier is trained; the stages are tested against brute force
@@ -54,7 +57,13 @@ STAGES = [
 
 def run(spark, sf_dir):
     """All stages over ``documents``."""
-    docs = load(spark, sf_dir, "documents")
+    docs, path = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = via_table(stage(spark, docs, sf_dir), f"stage-{name}")
+        read, path = path, new_table_path(spark, f"stage-{name}")
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if read:
+            drop_path(spark, read)
     return STAGES[-1][1](spark, docs, sf_dir)
