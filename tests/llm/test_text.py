@@ -201,6 +201,14 @@ def test_classify_uses_no_test_fold_label_and_keeps_rows(spark, awkward):
     assert toxicity.score(awkward, model).count() == len(docs_rows())
 
 
+def test_toxicity_ignores_clashing_columns(spark, awkward):
+    lab = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 7, 8, 9, 10, 11, 12, 13, 15, 17)], "doc_id long, toxic int")
+    odd = awkward.withColumns({c: F.lit(f"clash-{c}") for c in ("toxic", "label", "score", "predicted", "held_out", "words", "n", "fold")})
+    a, b = (sorted(map(tuple, toxicity.classify(d, lab).collect()), key=str) for d in (awkward, odd))
+    assert a == b and len(a) == len(docs_rows())
+    assert toxicity.keep_clean(odd, toxicity.fit(odd, lab)).columns == odd.columns
+
+
 def test_without_labels_nothing_is_toxic(spark, awkward, empty_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.classify(awkward, none).filter("predicted = 1 or score > 0.001").count() == 0

@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cohortlens.llm import bpe, packing, training_order
@@ -184,6 +185,37 @@ def test_feistel_is_a_keyed_permutation(n):
         assert (a != b).mean() > 0.9 and abs(np.corrcoef(a, np.arange(n))[0, 1]) < 0.2
 
 
+def feistel_brute(index, n, key):
+    """One index in plain integers: six rounds over two halves, walked until inside [0, n)."""
+    def mix(x):
+        x = (x ^ (x >> 33)) * 0xFF51AFD7ED558CCD % 2 ** 64
+        x = (x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53 % 2 ** 64
+        return x ^ (x >> 33)
+    half = 1
+    while 4 ** half < n:
+        half += 1
+    while True:
+        left, right = divmod(index, 2 ** half)
+        for k in range(1, 7):
+            left, right = right, left ^ mix((right + mix((k * 0x9E3779B97F4A7C15 + key) % 2 ** 64)) % 2 ** 64) % 2 ** half
+        index = left * 2 ** half + right
+        if index < n:
+            return index
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 16, 17, 1000])
+@pytest.mark.parametrize("key", [0, 5, 2 ** 64 - 1])
+def test_feistel_equals_plain_integers(n, key):
+    assert training_order.feistel(np.arange(n), n, key).tolist() == [feistel_brute(i, n, key) for i in range(n)]
+
+
+def test_training_order_ignores_clashing_columns(spark, clashing, awkward):
+    read = [sorted(map(tuple, training_order.read_training_order(spark, training_order.write_training_order(
+        d.coalesce(1), key=5, length=16, records=8)[0], records=8).collect()), key=str)
+            for d in (awkward, clashing.withColumns({c: F.lit(c) for c in ("pid", "place", "slot", "shard", "tokens", "piece")}))]
+    assert read[0] == read[1] != []
+
+
 def test_training_order_round_trip(spark, awkward, library):
     folder, n = training_order.write_training_order(awkward, key=5, length=16, records=8)
     rows = training_order.read_training_order(spark, folder, records=8).collect()
