@@ -30,6 +30,7 @@ from cohortlens.llm.common import keep_rows, sliced, text_digest, via_table
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+SALTS = 32  # parts of a host's rows in the join with the verdicts
 MAX_HOST_RATE = 0.8
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -104,10 +105,12 @@ def host_rates(measures: DataFrame) -> DataFrame:
 
 
 def _verdicts(table: DataFrame, max_host_rate: float) -> DataFrame:
-    """The measures with host_rejected: true or null."""
-    bad = host_rates(table).filter(F.col("rate") > max_host_rate).select("host", F.lit(True).alias("host_rejected"))
-    # AQE broadcasts the verdicts when they are small and splits a hot host when they are not
-    return table.join(bad, "host", "left")
+    """The measures with host_rejected: true or null. A host's rows are dealt over ``SALTS`` tasks;
+    of the other side, rejected hosts alone, each has a row for every salt."""
+    bad = (host_rates(table).filter(F.col("rate") > max_host_rate)
+           .select("host", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("host_rejected")))
+    salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int")
+    return table.withColumn("salt", salt).join(bad, ["host", "salt"], "left").drop("salt")
 
 
 def apply_host_rules(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE, id_col: str = "doc_id",

@@ -323,6 +323,26 @@ def test_host_verdicts(spark):
     assert all(abs(r - (b + m * k) / (a + k)) < 1e-9 for a, b, r in rates.values())
 
 
+def test_a_hot_host_is_dealt_over_tasks(spark):
+    """One rejected host with nearly all rows: every row has its verdict, no task most of the rows."""
+    docs = spark.createDataFrame([(i if i % 3 else None, "a b c", "en", "hot", 5) for i in range(600)]
+                                 + [(1000 + i, words(60, i), "en", f"h{i}", 5) for i in range(30)], DOCS)
+    table = host_rules.document_measures(docs)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = host_rules._verdicts(table, 0.8)
+        assert "salt" not in got.columns
+        rows = got.select("host", "host_rejected").collect()
+        assert len(rows) == 630 and all((r.host == "hot") == bool(r.host_rejected) for r in rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    ids = docs.filter("source = 'hot'").select("doc_id", F.lit(3).alias("n_words"), F.lit(3).alias("word_chars"))
+    sizes = [r["count"] for r in ids.filter("doc_id IS NOT NULL").groupBy(
+        F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(host_rules.SALTS))).count().collect()]
+    assert len(sizes) == host_rules.SALTS and max(sizes) < 60
+
+
 def test_host_rules_on_an_empty_table(empty_docs):
     assert host_rules.apply_host_rules(empty_docs).count() == 0
 
