@@ -91,3 +91,16 @@ def test_a_column_without_values_is_an_error(spark):
     df = spark.createDataFrame([(None,), (None,)], "v double")
     with pytest.raises(ValueError, match="median"):
         ml.MedianImputer(["v"]).fit(df)
+
+
+def test_searches_share_the_folds_of_one_preprocessing(spark, monkeypatch):
+    from cohortlens.operators import tune as T
+
+    fits, keep = [], ml.fit_stages
+    monkeypatch.setattr(ml, "fit_stages", lambda *a: fits.append(1) or keep(*a))
+    tr, _ = _parts(spark)
+    folds = T.search_folds(tr, k=2)
+    both = T.random_search_cv(tr, ["ridge", "catboost"], n_trials=1, k=2, fixed={"iterations": 1, "depth": 2}, folds=folds).collect()
+    assert len(fits) == 2  # a fold once; before: once a fold for linear and once for boosted spaces
+    alone = T.random_search_cv(tr, ["ridge"], n_trials=1, k=2).collect()
+    assert np.isclose(both[0]["rmse"], alone[0]["rmse"]) and both[1]["rmse"] > 0
