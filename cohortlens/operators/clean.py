@@ -65,9 +65,12 @@ def most_repeated(df: DataFrame, key: str, order: list[str],
 
 
 def rows_of_duplicated_ids(df: DataFrame, key: str) -> DataFrame:
-    """All rows whose id occurs more than once (left-semi join, never a driver list)."""
+    """All rows whose id occurs more than once (left-semi join, never a driver list).
+
+    The ids, one narrow row each, are hashed; the wide rows stream past them. A merge join would
+    sort the wide rows, which spills them."""
     dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select(key)
-    return df.join(dup, key, "left_semi")
+    return df.join(dup.hint("shuffle_hash"), key, "left_semi")
 
 
 def drop_columns(df: DataFrame, cols: list[str]) -> DataFrame:

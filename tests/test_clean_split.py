@@ -80,3 +80,15 @@ def test_seeded_sample_is_reproducible(spark):
     a = split.seeded_sample(c, KEY, 50).collect()
     b = split.seeded_sample(c, KEY, 50).collect()
     assert a == b and len(a) == 50
+
+
+def test_duplicated_rows_are_not_sorted(spark):
+    rows = [(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c"), (3, "d"), (3, "e")]
+    out = clean.rows_of_duplicated_ids(spark.createDataFrame(rows, f"{KEY} long, x string"), KEY)
+    assert sorted((r[KEY], r["x"]) for r in out.collect()) == [(1, "a"), (1, "a"), (3, "d"), (3, "e")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = clean.rows_of_duplicated_ids(raw_records(spark, SF001), KEY)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
