@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -201,6 +202,40 @@ def test_classify_uses_no_test_fold_label_and_keeps_rows(spark, awkward):
     assert toxicity.score(awkward, model).count() == len(docs_rows())
 
 
+def test_every_labelled_row_and_whole_long_texts_train(spark):
+    """Nothing is drawn (before: the least id hashes of each class, texts up to 20,000 characters)."""
+    rows = [(k, t, y) for k, (t, y) in enumerate(labelled(400, 6))] + [(900, "a3 " * 9000 + "longtail", 1), (901, None, 0)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t, _ in rows], DOCS)
+    lab = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = toxicity._labelled(docs, lab, "doc_id", "text", "toxic").collect()
+    assert sorted((r.doc_id, r.y, bytes(r.text)) for r in got) == sorted((i, y, (t or "").encode()) for i, t, y in rows)
+    seen = toxicity._count_buckets([pa.RecordBatch.from_pydict({"y": [y for _, _, y in rows], "text": [(t or "").encode() for _, t, _ in rows]})])
+    counts = {(r["y"], r["key"]): r["n"] for r in next(seen).to_pylist()}
+    assert counts[0, -1] + counts[1, -1] == len(rows) and counts[1, int(toxicity.features([b"longtail"])[0, 0])] == 1
+    # parts of 40 rows: each row in one of the rounds, the same model for any layout, and a good one
+    a = toxicity.fit(docs, lab, part=40)
+    b = toxicity.fit(docs.repartition(11), lab.repartition(3), part=40)
+    assert np.array_equal(a.emb, b.emb) and np.array_equal(a.out, b.out) and a.thresholds == b.thresholds
+    fresh = labelled(300, 12)
+    pooled, counts = toxicity.Scorer(a).pooled([t.encode() for t, _ in fresh])
+    s = a.score(a.probability(pooled), toxicity._language(counts))
+    assert ((s >= 0.5) == np.array([y for _, y in fresh])).mean() > 0.95
+
+
+def test_a_step_of_segments_equals_a_step_of_whole_texts(monkeypatch):
+    rows = labelled(64, 8)
+    state = toxicity.start_state(np.zeros((2, toxicity.BUCKETS)), (1, 1))
+    moved = []
+    for size in (1 << 18, 50):
+        monkeypatch.setattr(toxicity, "SEGMENT_BYTES", size)
+        trainer = toxicity.Trainer(state, (1.0, 1.0))
+        for t, y in rows:
+            trainer.add(t.encode(), y)
+        moved.append(trainer.state)
+    assert not np.array_equal(moved[0], state) and np.allclose(*moved, atol=1e-4)
+
+
 def test_toxicity_ignores_clashing_columns(spark, awkward):
     lab = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 7, 8, 9, 10, 11, 12, 13, 15, 17)], "doc_id long, toxic int")
     odd = awkward.withColumns({c: F.lit(f"clash-{c}") for c in ("toxic", "label", "score", "predicted", "held_out", "words", "n", "fold")})
