@@ -79,3 +79,19 @@ def test_loo_only_for_flagged_training_rows(students):
                  for r in G.apply_lookups(students, m, d, False).collect()}
     assert all(abs(r["pct_internet_mcpio"] - exp_loo[r["estu_consecutivo"]]) < 1e-6 for r in flagged)
     assert all(abs(r["pct_internet_mcpio"] - exp_plain[r["estu_consecutivo"]]) < 1e-6 for r in plain)
+
+
+def test_group_lookups_and_cuts_do_not_shuffle_wide_rows(spark, students):
+    """Fitted tables have a size the planner knows (before: checkpoints of unknown size, so the wide rows
+    were shuffled and sorted by keys of few values)."""
+    from cohortlens.operators import ml, split
+    from cohortlens.session import cut_lineage
+
+    df = cut_lineage(students)
+    looked_up = ml.GroupAggregatesStage().fit(df).transform(df)
+    cut = split.stratified_split(df, "estu_consecutivo")
+    folds = split.group_kfold_assign(df, "estu_mcpio_reside", 3)
+    for got in (looked_up, cut, folds):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan, plan
+        assert got.count() == df.count()
