@@ -95,3 +95,15 @@ def test_group_lookups_and_cuts_do_not_shuffle_wide_rows(spark, students):
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan, plan
         assert got.count() == df.count()
+
+
+def test_rows_dealt_to_a_task_stay_bounded(spark, tmp_path, monkeypatch):
+    """Wide rows of the fits are dealt to as many tasks as the orders need, not to a fixed number."""
+    from cohortlens.plans import q_ml
+    spark.range(900).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    rows = spark.range(900).select(F.col("id").alias("estu_consecutivo"))
+    assert q_ml._dealt(rows, str(tmp_path)).rdd.getNumPartitions() == 8  # few rows: the session's number
+    monkeypatch.setattr(q_ml, "TASK_ROWS", 50)
+    dealt = q_ml._dealt(rows, str(tmp_path))
+    assert dealt.rdd.getNumPartitions() == 18
+    assert max(dealt.rdd.glom().map(len).collect()) < 200 and dealt.count() == 900
