@@ -30,6 +30,7 @@ from cohortlens.llm.wordbpe import word_bpe
 
 LENGTH = 512
 RECORDS = 4096
+SLICE = 1 << 23   # bytes of text whose distinct words are encoded together
 ROUNDS = 6
 HEAD = np.dtype([("doc_id", "<i8"), ("piece", "<i4"), ("n_tokens", "<i4")])
 NO_ID = np.iinfo(np.int64).min
@@ -62,14 +63,16 @@ def _sequences(path: str, length: int):
     def run(batches):
         enc = word_bpe(path)
         width = enc.dtype.itemsize * length
-        for batch in sliced(batches):
-            rows = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = enc.encode(text or b"")
-                rows += [(i, k, ids[at:at + width]) for k, at in enumerate(range(0, max(1, len(ids)), width))]
+        for batch in sliced(batches, size=SLICE):
+            tokens, at = enc.encode_column(batch.column(1))
+            pieces = np.maximum(1, -(-np.diff(at) // width))
+            doc = np.repeat(np.arange(batch.num_rows), pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            starts = np.append(at[doc] + piece * width, at[-1]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                 pa.array([r[2] for r in rows], pa.binary())], names=["doc_id", "piece", "tokens"])
+                [batch.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()),
+                 pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(starts), tokens])],
+                names=["doc_id", "piece", "tokens"])
     return run
 
 

@@ -10,13 +10,14 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortlens.llm import bpe, packing, training_order
+from cohortlens.llm import bpe, packing, training_order, wordbpe
 from cohortlens.llm.common import tokenizer_path
 from cohortlens.llm.wordbpe import word_bpe
 from tests.llm.conftest import docs_rows
@@ -63,6 +64,28 @@ def test_any_text(text):
     assert ours(text) == ids_of(LIBRARY, text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.one_of(st.sampled_from(" \n\x0b\x1c\x85aBÉéΣ'.!<|\0\1\U0001f600\u0378"), st.characters()), max_size=30),
+                          st.just("<|startoftext|> Don't don't. 12ab")), max_size=6), st.integers(0, 2))
+def test_a_column_of_texts(texts, skip):
+    texts = [t if t is None else t.encode("utf-8", "ignore") for t in texts]
+    enc = word_bpe(tokenizer_path())
+    data, at = enc.encode_column(pa.array(texts, pa.binary()).slice(skip))
+    got = [np.frombuffer(data, enc.dtype, (b - a) // enc.dtype.itemsize, a).tolist() if b > a else [] for a, b in zip(at.tolist(), at[1:].tolist())]
+    assert got == [ids_of(LIBRARY, (t or b"").decode()) for t in texts[skip:]]
+
+
+def test_pretokens_of_a_column_are_merged_once_and_common_ones_outlive_rare_ones(monkeypatch):
+    enc, met = wordbpe.WordBpe(tokenizer_path()), []
+    for merge in ("_merge", "_merge_ascii"):
+        monkeypatch.setattr(enc, merge, lambda raw, run=getattr(enc, merge): met.append(raw) or run(raw))
+    monkeypatch.setattr(wordbpe, "MAX_PRETOKENS", 30)
+    for k in range(20):
+        rare = " ".join(f"{a}{b}q" for a in "abcde" for b in "fghijklmnopqrstuvwxyz"[k:k + 2])
+        enc.encode_column(pa.array([f"Common common. COMMON, {rare} été Été".encode()] * 3))
+    assert sum(enc._marked(b"common") == raw for raw in met) == sum(enc._paired("été".encode()) == raw for raw in met) == 1
+
+
 def test_encode_decode_digests(awkward, clashing, library):
     want = []
     for i, t, *_ in docs_rows():
