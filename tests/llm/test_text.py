@@ -236,6 +236,36 @@ def test_a_step_of_segments_equals_a_step_of_whole_texts(monkeypatch):
     assert not np.array_equal(moved[0], state) and np.allclose(*moved, atol=1e-4)
 
 
+def test_a_step_of_word_slices_equals_a_step_of_whole_texts(monkeypatch):
+    rows = [*labelled(20, 8), ("", 0), ("one", 1), ("a b", 0), (" ".join(f"w{k}" for k in range(70_000)), 1)]
+    state = toxicity.start_state(np.zeros((2, toxicity.BUCKETS)), (1, 1))
+    moved = []
+    for size in (1 << 40, 7):
+        monkeypatch.setattr(toxicity, "SLICE_WORDS", size)
+        trainer = toxicity.Trainer(state, (1.0, 1.0))
+        for t, y in rows[:-1]:
+            trainer.add(t.encode(), y)
+        trainer.step()
+        moved.append(trainer.state)
+    assert not np.array_equal(moved[0], state) and np.allclose(*moved, atol=1e-4)
+    for t, _ in rows:  # stored words read back: the places take 1, 2 or 4 bytes
+        keys, at = toxicity._stored(*(x.tobytes() for x in toxicity.Features().encode(t.encode())))
+        want = toxicity.features(t.encode().split()) if t else np.zeros((1, 1 + len(toxicity.HEADS)), int)
+        assert np.array_equal(toxicity._buckets(keys)[at], want)
+
+
+def test_rows_of_a_large_table_train_in_every_epoch(spark, monkeypatch):
+    """Before: a table of more than a part's rows went through once, a small one EPOCHS times."""
+    rounds, one = [], toxicity._round
+    monkeypatch.setattr(toxicity, "_round", lambda state, weights: rounds.append(state) or one(state, weights))
+    rows = [(k, t, y) for k, (t, y) in enumerate(labelled(300, 6))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t, _ in rows], DOCS)
+    lab = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    shares = toxicity._labelled(docs, lab, "doc_id", "text", "toxic", 40).filter("hold = 0").select("share").distinct().count()
+    toxicity.fit(docs, lab, part=40)
+    assert shares > 1 and len(rounds) == shares * toxicity.EPOCHS
+
+
 def test_toxicity_ignores_clashing_columns(spark, awkward):
     lab = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 7, 8, 9, 10, 11, 12, 13, 15, 17)], "doc_id long, toxic int")
     odd = awkward.withColumns({c: F.lit(f"clash-{c}") for c in ("toxic", "label", "score", "predicted", "held_out", "words", "n", "fold")})
