@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,31 +52,42 @@ def _paths(tree: dict):
 
 def tree_shapley(tree: dict, x: np.ndarray) -> tuple[np.ndarray, float]:
     """(rows x features values, expected value) of one tree."""
-    out, cover = np.zeros(x.shape), tree["cover"]
+    out, cover = np.zeros(x.shape[::-1]), tree["cover"]
     base, left_of = 0.0, {}
     for k, f in enumerate(tree["feat"]):
         if f >= 0:
             cats = tree["cats"][k]
             left_of[k] = np.isin(x[:, f], sorted(cats)) if cats is not None else x[:, f] <= tree["thr"][k]
+    right_of = {k: ~left for k, left in left_of.items()}
     for leaf, path in _paths(tree):
         base += tree["value"][leaf] * cover[leaf] / cover[0]
         feats: dict[int, tuple[np.ndarray, float]] = {}
         for k, left in path:
             f = tree["feat"][k]
-            ok, share = feats.get(f, (np.ones(len(x), bool), 1.0))
+            ok, share = feats.get(f, (None, 1.0))
             child = tree["left" if left else "right"][k]
-            feats[f] = (ok & (left_of[k] if left else ~left_of[k]), share * cover[child] / cover[k])
+            side = (left_of if left else right_of)[k]
+            feats[f] = (side if ok is None else ok & side, share * cover[child] / cover[k])
         if not feats:
             continue
-        names = list(feats)
-        agree = np.stack([feats[f][0] for f in names], axis=1)
-        kinds, which = np.unique(agree, axis=0, return_inverse=True)
-        out[:, names] += leaf_values(kinds.astype(float), np.array([feats[f][1] for f in names]), tree["value"][leaf])[which.ravel()]
-    return out, base
+        names, bits = list(feats), np.arange(len(feats))
+        code = np.zeros(len(x), np.uint8 if len(names) <= 8 else np.int64)  # a row's agreements as one number
+        for j, f in enumerate(names):
+            code |= feats[f][0].astype(code.dtype) << code.dtype.type(j)
+        if len(names) <= 8:
+            held, which = np.arange(1 << len(names)), code
+        else:
+            held, which = np.unique(code, return_inverse=True)
+        kinds = (held[:, None] >> bits & 1).astype(float)
+        values = leaf_values(kinds, np.array([feats[f][1] for f in names]), tree["value"][leaf])
+        for j, f in enumerate(names):
+            out[f] += values[which, j]
+    return out.T, base
 
 
 def ensemble_shapley(trees: list[dict], weights: list[float], x: np.ndarray) -> tuple[np.ndarray, float]:
-    total, base = np.zeros(x.shape), 0.0
+    x = np.asfortranarray(x)  # read by columns
+    total, base = np.zeros(x.shape, order="F"), 0.0
     for t, w in zip(trees, weights):
         values, b = tree_shapley(t, x)
         total += w * values
@@ -105,18 +116,25 @@ def _shared(df: DataFrame, trees: list[dict], weights: list[float]):
     return df.sparkSession.sparkContext.broadcast((trees, weights))
 
 
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    """Rows of equally long arrays as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def shapley_rows(rows: DataFrame, trees: list[dict], weights: list[float], id_col: str, x_col: str = "x",
                  keep: list[str] | None = None) -> DataFrame:
     """One row a row: id, base, phi (a value a feature); base + the values are the prediction."""
     shared, keep = _shared(rows, trees, weights), [id_col, *(keep or [])]
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                values, base = ensemble_shapley(*shared.value, np.vstack(pdf["x"].to_numpy()))
-                yield pdf[keep].assign(base=base, phi=list(values))
+        for batch in batches:
+            if batch.num_rows:
+                values, base = ensemble_shapley(*shared.value, _matrix(batch.column(len(keep))))
+                n, d = values.shape
+                phi = pa.ListArray.from_arrays(pa.array(np.arange(0, n * d + 1, d), pa.int32()), pa.array(np.ascontiguousarray(values).ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.full(n, base)), phi], names=[*keep, "base", "phi"])
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.select(*keep, F.col(x_col).alias("x")).mapInPandas(run, f"{kinds}, base double, phi array<double>")
+    return rows.select(*keep, F.col(x_col).alias("x")).mapInArrow(run, f"{kinds}, base double, phi array<double>")
 
 
 def shapley_ranking(rows: DataFrame, trees: list[dict], weights: list[float], names: list[str], x_col: str = "x") -> DataFrame:
@@ -124,11 +142,12 @@ def shapley_ranking(rows: DataFrame, trees: list[dict], weights: list[float], na
     shared = _shared(rows, trees, weights)
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                values, _ = ensemble_shapley(*shared.value, np.vstack(pdf["x"].to_numpy()))
-                yield pd.DataFrame({"feature": names, "s": np.abs(values).sum(axis=0), "n": len(pdf)})
-    parts = rows.select(F.col(x_col).alias("x")).mapInPandas(run, "feature string, s double, n long")
+        for batch in batches:
+            if batch.num_rows:
+                values, _ = ensemble_shapley(*shared.value, _matrix(batch.column(0)))
+                s = np.abs(np.ascontiguousarray(values)).sum(axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(s), pa.array(np.full(len(names), batch.num_rows))], names=["feature", "s", "n"])
+    parts = rows.select(F.col(x_col).alias("x")).mapInArrow(run, "feature string, s double, n long")
     return parts.groupBy("feature").agg((F.sum("s") / F.sum("n")).alias("mean_abs")).orderBy(F.desc("mean_abs"), "feature")
 
 
