@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -104,3 +105,23 @@ def test_searches_share_the_folds_of_one_preprocessing(spark, monkeypatch):
     assert len(fits) == 2  # a fold once; before: once a fold for linear and once for boosted spaces
     alone = T.random_search_cv(tr, ["ridge"], n_trials=1, k=2).collect()
     assert np.isclose(both[0]["rmse"], alone[0]["rmse"]) and both[1]["rmse"] > 0
+
+
+class _Stop(Exception):
+    pass
+
+
+def test_profile_c_trains_all_rounds(spark, monkeypatch):
+    """Before: 20 rounds of 400."""
+    from cohortlens.plans import queries  # noqa: F401
+    from cohortlens.plans.registry import REGISTRY
+
+    seen = []
+
+    def stop(pipeline, *a, **k):
+        seen.append(pipeline.getStages()[-1])
+        raise _Stop
+    monkeypatch.setattr(ml, "fit_train", stop)
+    with pytest.raises(_Stop):
+        REGISTRY["gbt_fit_profile_c"].build(spark, SF001)
+    assert (seen[0].getMaxIter(), seen[0].getMaxDepth()) == (ml.BOOSTED_ROUNDS, ml.BOOSTED_DEPTH)
