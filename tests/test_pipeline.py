@@ -125,3 +125,23 @@ def test_profile_c_trains_all_rounds(spark, monkeypatch):
     with pytest.raises(_Stop):
         REGISTRY["gbt_fit_profile_c"].build(spark, SF001)
     assert (seen[0].getMaxIter(), seen[0].getMaxDepth()) == (ml.BOOSTED_ROUNDS, ml.BOOSTED_DEPTH)
+
+
+def test_comparison_table_fits_what_its_spaces_draw(spark, monkeypatch):
+    """Before: 5 rounds of depth 4, where the space starts at 200 rounds."""
+    from cohortlens.operators import tune as T
+    from cohortlens.plans import queries  # noqa: F401
+    from cohortlens.plans.registry import REGISTRY
+
+    learners, make = [], ml.make_model
+
+    def record(name, params=None, *a):
+        if name == "gbt_profile_c":
+            learners.append(make(name, params, *a))
+            params = {**params, "maxIter": 1, "maxDepth": 1}
+        return make(name, params, *a)
+    monkeypatch.setattr(ml, "make_model", record)
+    rows = {r.model: r for r in REGISTRY["comparison_table"].build(spark, SF001).collect()}
+    drawn = T.to_mllib("catboost", T.draw("catboost", 0))
+    assert len(rows) == 3 and len(learners) == 3
+    assert all((m.getMaxIter(), m.getMaxDepth()) == (drawn["maxIter"], drawn["maxDepth"]) for m in learners)
