@@ -107,6 +107,33 @@ def test_searches_share_the_folds_of_one_preprocessing(spark, monkeypatch):
     assert np.isclose(both[0]["rmse"], alone[0]["rmse"]) and both[1]["rmse"] > 0
 
 
+def test_a_fit_on_written_rows_copies_none(spark, monkeypatch):
+    """Before: each fit checkpointed its training rows again, seven copies in robustness_summary."""
+    from cohortlens.operators import tune as T
+    from cohortlens.session import cut_lineage
+
+    copies, real = [], ml.cut_lineage
+    monkeypatch.setattr(ml, "cut_lineage", lambda df: copies.append(1) or real(df))
+    c = cut_lineage(cohort(spark, SF001))
+    build = lambda: ml.build_pipeline("tree", {"maxDepth": 3}, c.columns)
+    T.group_kfold_cv(build, c, "estu_mcpio_reside", 2)
+    here = T.temporal_holdout_cv(build, c, "periodo", R.TRAIN_UNTIL, cut=False).first()
+    assert not copies
+    assert T.temporal_holdout_cv(build, c, "periodo", R.TRAIN_UNTIL).first() == here and len(copies) == 1
+
+
+def test_the_learner_reads_its_features_alone(spark):
+    """Before: the rows behind the features stayed cached while the learner ran."""
+    tr, _ = _parts(spark)
+    pipeline = ml.build_pipeline("tree", {"maxDepth": 3}, tr.columns)
+    learner, held = pipeline.getStages()[-1], []
+    cached = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before, fit = cached(), learner.fit
+    learner.fit = lambda df: held.append(cached()) or fit(df)
+    ml.fit_train(pipeline, tr)
+    assert held == [before + 1]
+
+
 class _Stop(Exception):
     pass
 
